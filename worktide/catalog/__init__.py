@@ -1,0 +1,17 @@
+"""All registered queries."""
+
+from .base import ORACLES, QUERIES
+
+
+def _load() -> None:
+    from . import text_queries  # noqa: F401
+
+
+def all_queries():
+    _load()
+    return dict(QUERIES)
+
+
+def all_oracles():
+    _load()
+    return dict(ORACLES)

@@ -80,20 +80,16 @@ def match_longest(
     if len(entries.take(inline_limit + 1)) <= inline_limit:
         # One row holding the whole, size-checked dictionary, longest word first.
         ranked = F.array_sort(F.collect_list(F.struct((-F.length("word")).alias("size"), "value", "word")))
-        found = let(
-            F.struct(F.col(text).alias("text"), entries.agg(ranked).scalar().alias("words")),
-            lambda v: F.get(F.filter(v["words"], lambda w: v["text"].contains(w["word"])), F.lit(0))["value"],
-        )
-        matched = df.withColumn(out, F.coalesce(found, F.lit(default)))
+        carried = df.withColumn("_words", entries.agg(ranked).scalar())
+        hits = F.filter("_words", lambda w: F.col(text).contains(w["word"]))
+        matched = carried.withColumn(out, F.coalesce(F.get(hits, F.lit(0))["value"], F.lit(default))).drop("_words")
     else:
+        def pieces_of(size: int) -> Column:
+            last = F.greatest(F.length(text) - size + 1, F.lit(1))
+            return F.transform(F.sequence(F.lit(1), last), lambda at: F.substring(F.col(text), at, F.lit(size)))
+
         sizes = [r[0] for r in entries.select(F.length("word")).distinct().collect()]
-        starts = [
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1))),
-                lambda at, size=size: F.substring(F.col(text), at, F.lit(size)),
-            )
-            for size in sizes
-        ]
+        starts = [pieces_of(size) for size in sizes]
         pieces = df.select(*row_key, F.explode(F.array_distinct(F.concat(*starts))).alias("word"))
         best = (
             pieces.join(entries, "word")
