@@ -41,8 +41,8 @@ def cumulative_cover(freq: DataFrame, percents: Sequence[int]) -> DataFrame:
     steps = histogram.select(
         "freq", "items", F.coalesce(F.sum(mass).over(before), F.lit(0)).alias("mass_before"),
         F.sum(mass).over(Window.partitionBy(F.lit(0))).alias("all_mass"),
-        F.explode(F.array(*[F.lit(int(p)) for p in percents])).alias("percent"),
     )
+    steps = steps.withColumn("percent", F.explode(F.array(*[F.lit(int(p)) for p in percents])))
     room = F.col("percent") * F.col("all_mass") - 100 * F.col("mass_before")
     fits = F.least(F.col("items"), F.greatest(F.floor(room / (100 * F.col("freq"))), F.lit(0)))
     return steps.groupBy("percent").agg(F.sum(fits).cast("bigint").alias("items_within"))
@@ -89,8 +89,8 @@ def median_with_fallback(df: DataFrame, by: str, columns: Sequence[str], constan
     result = df.select(by).distinct()
     for c in columns:
         counted = df.filter(F.col(c).isNotNull()).groupBy(by, c).agg(F.count(F.lit(1)).alias("_n"))
-        groups = counted.groupBy(by).agg(F.percentile(c, 0.5, "_n").alias(f"_{c}"))
-        everywhere = counted.groupBy(c).agg(F.sum("_n").alias("_n")).agg(F.percentile(c, 0.5, "_n").alias("m"))
+        groups = counted.groupBy(by).agg(F.percentile(c, 0.5, F.col("_n")).alias(f"_{c}"))
+        everywhere = counted.groupBy(c).agg(F.sum("_n").alias("_n")).agg(F.percentile(c, 0.5, F.col("_n")).alias("m"))
         result = result.join(groups.withColumnRenamed(by, "_by"), F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
         filled = F.coalesce(F.col(f"_{c}"), everywhere.scalar(), F.lit(float(constants[c])))
         result = result.withColumn(c, filled).drop(f"_{c}")
