@@ -4,7 +4,7 @@ from .base import ORACLES, QUERIES
 
 
 def _load() -> None:
-    from . import table_queries, text_queries  # noqa: F401
+    from . import match_queries, pipeline_queries, series_queries, table_queries, text_queries  # noqa: F401
 
 
 def all_queries():
