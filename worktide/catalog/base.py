@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.files import spread_scan
+
 
 class Tables:
     """The given Parquet tables by attribute: ``t.lineitem``."""
@@ -18,6 +20,10 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """The table for work that is heavy per row."""
+        return spread_scan(getattr(self, name), key)
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

@@ -23,7 +23,7 @@ def _vocab(t):
 
 @query("k01_vocabulary_skill_extraction")
 def _(t):
-    found = skills.extract_skills(t.documents, "doc_id", "text", _vocab(t))
+    found = skills.extract_skills(t.spread("documents", "doc_id"), "doc_id", "text", _vocab(t))
     return found.select("doc_id", F.array_join("tech_skills", "|").alias("tech"), F.array_join("soft_skills", "|").alias("soft"))
 
 
@@ -148,7 +148,7 @@ _TFIDF = rf"""toks AS (SELECT id, t, count(*) AS tf FROM (SELECT id, unnest(rege
     SELECT query AS item_id, doc AS doc_id, score FROM (SELECT query, doc, round(sim, 6) AS score, row_number() OVER (PARTITION BY query ORDER BY round(sim, 6) DESC, doc) AS rn FROM sims) WHERE rn <= 5""",
 )
 def _(t):
-    return matching.tfidf_top_k(t.benchmark, "item_id", t.documents, "doc_id", "text", 5)
+    return matching.tfidf_top_k(t.benchmark, "item_id", t.spread("documents", "doc_id"), "doc_id", "text", 5)
 
 
 _LISTED = "docs AS (SELECT p_partkey AS id, p_name || ' ' || p_type || ' ' || p_brand AS text, string_split(p_name, ' ') AS sk FROM part), qs AS (SELECT c_custkey AS id, c_mktsegment || ' red ring ' || 'brand#' || c_nationkey || ' small' AS text, ['RED', 'small', 'ring'] AS sk FROM customer)"
@@ -171,28 +171,20 @@ def _(t):
 
 @query(
     "n03_n04_vector_top_k",
-    f"""WITH {_UNIT}, q AS (SELECT id, v, label FROM e), s AS (SELECT q.id AS vec_id, e.id AS neighbour, round(list_cosine_similarity(q.v, e.v), 5) AS score, row_number() OVER (PARTITION BY q.id ORDER BY round(list_cosine_similarity(q.v, e.v), 5) DESC, e.id) AS rn,
-      count(*) OVER (PARTITION BY q.id) AS n_rows FROM q JOIN e ON e.id <> q.id AND e.label <> q.label)
+    f"""WITH {_UNIT}, s AS (SELECT q.id AS vec_id, e.id AS neighbour, round(list_cosine_similarity(q.v, e.v), 6) AS score, row_number() OVER (PARTITION BY q.id ORDER BY round(list_cosine_similarity(q.v, e.v), 6) DESC, e.id) AS rn,
+      count(*) OVER (PARTITION BY q.id) AS n_rows FROM e q JOIN e ON e.label <> q.label)
     SELECT vec_id, neighbour, score, CAST(n_rows AS BIGINT) AS n_rows FROM s WHERE rn <= 3""",
 )
 def _(t):
     jobs = t.embeddings.select("vec_id", F.concat(F.lit("t"), "label").alias("title"), F.array(F.lit("a")).alias("skills"), "label")
-    index = matching.build_index(jobs, t.embeddings.select("vec_id", "embedding"), "vec_id", "embedding")
+    index = matching.build_index(jobs, t.embeddings.select("vec_id", "embedding"), "vec_id", "embedding", kind="double")
 
     def other_label(lp, rp):
         return lp["label"].to_numpy()[:, None] != rp["label"].to_numpy()[None, :]
 
     right = index.select(F.col("vec_id").alias("neighbour"), "embedding", "label")
-    # unit vectors are stored as floats, so scores compare at five digits
-    from ..operators.grid import dense, grid_top_k
-
-    def score(lp, rp):
-        import numpy as np
-
-        return np.where(other_label(lp, rp), dense(lp, "embedding", unit=True) @ dense(rp, "embedding", unit=True).T, -np.inf)
-
     left = t.embeddings.select("vec_id", "embedding", "label")
-    return grid_top_k(left, right.join(t.embeddings.select(F.col("vec_id").alias("neighbour"), F.col("embedding").alias("raw")), "neighbour").select("neighbour", F.col("raw").alias("embedding"), "label"), "vec_id", "neighbour", score, 3, digits=5, count="n_rows")
+    return matching.vector_top_k(left, "vec_id", right, "neighbour", "embedding", 3, other_label, count="n_rows")
 
 
 @query("n03_approximate_vector_top_k")
@@ -301,7 +293,7 @@ def ratings(t):
 
 def _cf_sql(me: str, other: str) -> str:
     return f"""WITH {_RATINGS}, n AS (SELECT {me} AS a, {other} AS b, r / sqrt(sum(r * r) OVER (PARTITION BY {me})) AS x FROM ratings),
-    sims AS (SELECT p.a, q.a AS b, round(sum(p.x * q.x), 6) AS sim FROM n p JOIN n q ON p.b = q.b AND p.a <> q.a GROUP BY 1, 2),
+    sims AS (SELECT p.a, q.a AS b, round(sum(p.x * q.x), 9) AS sim FROM n p JOIN n q ON p.b = q.b AND p.a <> q.a GROUP BY 1, 2),
     near AS (SELECT a, b, sim FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS rn FROM sims WHERE sim > 0) WHERE rn <= 20),
     votes AS (SELECT w.{me} AS a, w.{other} AS b, sum(sim * k.r) / sum(sim) AS p FROM ratings w JOIN near ON near.a = w.{me} JOIN ratings k ON k.{me} = near.b AND k.{other} = w.{other} GROUP BY 1, 2)
     SELECT {'a' if me == 'u' else 'b'} AS "user", {'b' if me == 'u' else 'a'} AS item, round(p, 6) AS prediction FROM votes"""
@@ -406,7 +398,7 @@ def _(t):
         F.lit('<div class="job-tags"><a>Python</a><a>SQL</a></div>'),
     )
     # the posting block stands in front of the whole original page
-    found = pages.extract_postings(t.pages.select("page_id", F.concat(block, "html").alias("html")))
+    found = pages.extract_postings(t.spread("pages", "page_id").select("page_id", F.concat(block, "html").alias("html")))
     return found.join(t.pages.select("page_id", F.length("html").alias("size")), "page_id").select(
         "page_id", "title", "company", "salary", "location", "education", F.array_join("industries", "|").alias("industries"),
         F.array_join("skills", "|").alias("skills"), "size",

@@ -57,7 +57,7 @@ def bronze(t: Tables) -> DataFrame:
         F.lit("Mô tả: chăm sóc khách hàng lớn của công ty. Yêu cầu công việc: Thành thạo Python, SQL và dự án nhóm "),
         p % 50, F.lit(" trở lên Quyền lợi: thưởng tết"),
     )
-    return t.lineitem.select(
+    return t.spread("lineitem", "l_orderkey").select(
         platform.alias("platform"),
         F.when(n < 7, F.concat(F.lit("https://jobs.example/"), k)).alias("link"),
         F.concat(F.lit("  Kỹ sư   Dữ liệu( "), p % 100, F.lit(" )")).alias("title"),

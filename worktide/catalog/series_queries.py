@@ -84,7 +84,7 @@ def _(t):
 
 @query(
     "m08_scale_and_unscale",
-    f"""WITH {_SCALED} SELECT event_type, strftime(day, '%Y-%m-%d') AS day, round(x, 9) AS x, round((d.y - avg(d.y) OVER w) / stddev_pop(d.y) OVER w, 9) AS y, d.x AS back
+    f"""WITH {_SCALED} SELECT event_type, strftime(day, '%Y-%m-%d') AS day, round(z.x, 9) AS x, round((d.y - avg(d.y) OVER w) / stddev_pop(d.y) OVER w, 9) AS y, d.x AS back
     FROM z JOIN daily d USING (event_type, day) WINDOW w AS (PARTITION BY event_type)""",
 )
 def _(t):
@@ -125,13 +125,13 @@ def _(t):
 _LAG1 = f"""{_SCALED}, l AS (SELECT event_type, day, x, lag(x) OVER w AS xl, y, lag(y) OVER w AS yl FROM z WINDOW w AS (PARTITION BY event_type ORDER BY day)),
   ols AS (SELECT event_type, count(*) AS n, covar_pop(x, xl) AS cx, covar_pop(x, yl) AS cy, var_pop(xl) AS vx, var_pop(yl) AS vy, covar_pop(xl, yl) AS vxy,
     avg(x) AS mx, avg(xl) AS mxl, avg(yl) AS myl, var_pop(x) AS sxx, regr_r2(x, xl) AS r2 FROM l WHERE xl IS NOT NULL GROUP BY 1),
-  b AS (SELECT *, (cx * vy - cy * vxy) / (vx * vy - vxy * vxy) AS bx, (cy * vx - cx * vxy) / (vx * vy - vxy * vxy) AS by FROM ols)"""
+  b AS (SELECT *, (cx * vy - cy * vxy) / (vx * vy - vxy * vxy) AS cfx, (cy * vx - cx * vxy) / (vx * vy - vxy * vxy) AS cfy FROM ols)"""
 
 
 @query(
     "m11_vector_autoregression",
-    f"""WITH {_LAG1} SELECT event_type, 'const' AS term, round(mx - bx * mxl - by * myl, 6) AS coefficient FROM b UNION ALL SELECT event_type, 'x_lag1', round(bx, 6) FROM b
-    UNION ALL SELECT event_type, 'y_lag1', round(by, 6) FROM b""",
+    f"""WITH {_LAG1} SELECT event_type, 'const' AS term, round(mx - cfx * mxl - cfy * myl, 6) AS coefficient FROM b UNION ALL SELECT event_type, 'x_lag1', round(cfx, 6) FROM b
+    UNION ALL SELECT event_type, 'y_lag1', round(cfy, 6) FROM b""",
 )
 def _(t):
     fitted = series.fit_var(scaled(t), PANEL, TIME, ["x", "y"], 1).filter(F.col("target") == "x")
@@ -151,7 +151,7 @@ def _(t):
 
 @query(
     "m13_granger_f_test",
-    f"""WITH {_LAG1}, r AS (SELECT event_type, n, n * sxx * (1 - r2) AS short, n * (sxx - bx * cx - by * cy) AS full_rss FROM b)
+    f"""WITH {_LAG1}, r AS (SELECT event_type, n, n * sxx * (1 - r2) AS short, n * (sxx - cfx * cx - cfy * cy) AS full_rss FROM b)
     SELECT event_type, 'y' AS cause, 'x' AS effect, round((short - full_rss) / (full_rss / (n - 3)), 6) AS f, CAST(n - 3 AS INT) AS df_den FROM r""",
 )
 def _(t):

@@ -12,7 +12,7 @@ WORDS_SQL = r"unnest(regexp_split_to_array(trim(regexp_replace(text, '[\s\x0b\x8
 
 
 def words(t):
-    return t.documents.select("doc_id", "lang", F.explode(F.split(collapse(F.col("text")), " ")).alias("w"))
+    return t.spread("documents", "doc_id").select("doc_id", "lang", F.explode(F.split(collapse(F.col("text")), " ")).alias("w"))
 
 
 # -- W: deduplication and windows ------------------------------------------------------------------
@@ -675,6 +675,6 @@ def _(t):
     SELECT doc_id, CAST(count(k.pos) AS BIGINT) AS kept, md5(coalesce(string_agg(k.raw, ' ' ORDER BY k.pos), '')) AS digest FROM (SELECT doc_id FROM documents) LEFT JOIN k USING (doc_id) GROUP BY 1""",
 )
 def _(t):
-    lists = t.documents.select("doc_id", F.split(collapse(F.col("text")), " ").alias("skills"))
+    lists = t.spread("documents", "doc_id").select("doc_id", F.split(collapse(F.col("text")), " ").alias("skills"))
     cleaned = agg.drop_rare_singletons(lists, "doc_id", "skills", 2)
     return cleaned.select("doc_id", F.size("skills").cast("bigint").alias("kept"), F.md5(F.array_join("skills", " ")).alias("digest"))

@@ -25,7 +25,7 @@ def tidy(expr: str) -> str:
 
 @query("x01_normalize_common", f"SELECT doc_id, md5(nullif({tidy('lower(' + squash('text') + ')')}, '')) AS digest FROM documents")
 def _(t):
-    return t.documents.select("doc_id", F.md5(text.normalize_common(F.col("text"))).alias("digest"))
+    return t.spread("documents", "doc_id").select("doc_id", F.md5(text.normalize_common(F.col("text"))).alias("digest"))
 
 
 _NAME = (
@@ -52,7 +52,7 @@ def _(t):
     f"SELECT doc_id, md5(nullif({squash('replace(strip_accents(lower(text)), chr(273), chr(100))')}, '')) AS digest FROM documents",
 )
 def _(t):
-    return t.documents.select("doc_id", F.md5(text.unaccent(F.col("text"))).alias("digest"))
+    return t.spread("documents", "doc_id").select("doc_id", F.md5(text.unaccent(F.col("text"))).alias("digest"))
 
 
 @query(
@@ -63,7 +63,7 @@ def _(t):
 )
 def _(t):
     line = F.struct("l_orderkey", "l_partkey", "l_suppkey")
-    raw = t.lineitem.select(line.alias("i"), "l_linenumber", F.col("l_quantity").cast("int").alias("q"))
+    raw = t.spread("lineitem", "l_orderkey").select(line.alias("i"), "l_linenumber", F.col("l_quantity").cast("int").alias("q"))
     n, q = F.col("l_linenumber"), F.col("q")
     shown = (
         F.when(n == 1, F.concat(q, F.lit(" - "), q + 5, F.lit(" triệu")))
@@ -86,7 +86,7 @@ def _(t):
 def _(t):
     grouped = F.format_number(F.floor("l_extendedprice"), 0)
     exact = F.translate(F.format_number("l_extendedprice", 2), ",.", ".,")
-    row = t.lineitem.select(
+    row = t.spread("lineitem", "l_orderkey").select(
         "l_orderkey", "l_linenumber", parsing.parse_money(F.concat(grouped, F.lit(" đ")), F.lit(False)).alias("w"),
         # thousands need their own separator next to the decimal one
         F.when(F.col("l_extendedprice") >= 1000, parsing.parse_money(exact, F.lit(True)))
@@ -103,7 +103,7 @@ def _(t):
     FROM silver GROUP BY ALL""",
 )
 def _(t):
-    raw = t.lineitem.select("l_partkey", "l_suppkey")
+    raw = t.spread("lineitem", "l_orderkey").select("l_partkey", "l_suppkey")
     years, p = F.col("l_suppkey") % 5, F.col("l_partkey")
     shown = (
         F.when(p % 5 == 0, F.lit("Không yêu cầu"))
@@ -184,7 +184,7 @@ def _(t):
         F.lit("Mô tả: chăm sóc khách hàng lớn của công ty. Yêu cầu công việc: Thành thạo Python, SQL và dự án nhóm "),
         F.col("l_partkey") % 50, F.lit(" trở lên Quyền lợi: thưởng tết"),
     )
-    return t.lineitem.groupBy("l_partkey", "l_suppkey", parsing.requirement_section(described).alias("section")).agg(
+    return t.spread("lineitem", "l_orderkey").groupBy("l_partkey", "l_suppkey", parsing.requirement_section(described).alias("section")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -222,7 +222,7 @@ def _block_sql(rule: str) -> str:
       coalesce({_block_sql(parsing.SECTION_RULES[0])}, {_block_sql(parsing.SECTION_RULES[1])}, {_strip_sql("text")}) END) AS digest FROM found""",
 )
 def _(t):
-    return t.documents.select("doc_id", F.md5(parsing.requirement_section(F.col("text"))).alias("digest"))
+    return t.spread("documents", "doc_id").select("doc_id", F.md5(parsing.requirement_section(F.col("text"))).alias("digest"))
 
 
 _CLEANED = "coalesce(text, '')"
@@ -236,7 +236,7 @@ for _pattern, _new in [
 
 @query("x15_clean_requirement", f"SELECT doc_id, md5({_CLEANED}) AS digest FROM documents")
 def _(t):
-    return t.documents.select("doc_id", F.md5(text.clean_requirement(F.col("text"))).alias("digest"))
+    return t.spread("documents", "doc_id").select("doc_id", F.md5(text.clean_requirement(F.col("text"))).alias("digest"))
 
 
 @query(
@@ -275,7 +275,7 @@ _WORDS_SQL = rf"""words AS (SELECT doc_id, unnest(list_distinct(regexp_split_to_
     SELECT doc_id, CAST(count(*) AS BIGINT) AS words, CAST(count(*) FILTER (ok) AS BIGINT) AS reasonable FROM judged GROUP BY 1""",
 )
 def _(t):
-    words = t.documents.select("doc_id", F.explode(F.array_distinct(F.split(text.collapse(F.col("text")), " "))).alias("w"))
+    words = t.spread("documents", "doc_id").select("doc_id", F.explode(F.array_distinct(F.split(text.collapse(F.col("text")), " "))).alias("w"))
     words = words.filter(F.col("w") != "")
     return words.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("words"), F.count_if(text.is_reasonable_skill(F.col("w"))).alias("reasonable")
@@ -299,7 +299,7 @@ def _(t):
     SELECT length(w) AS size, CAST(count(*) AS BIGINT) AS words, CAST(count(*) FILTER (noise) AS BIGINT) AS noisy FROM judged GROUP BY 1""",
 )
 def _(t):
-    words = t.documents.select(F.explode(F.array_distinct(F.split(text.collapse(F.col("text")), " "))).alias("w"))
+    words = t.spread("documents", "doc_id").select(F.explode(F.array_distinct(F.split(text.collapse(F.col("text")), " "))).alias("w"))
     pieces = words.filter(F.col("w") != "").distinct()
     return pieces.groupBy(F.length("w").alias("size")).agg(
         F.count(F.lit(1)).alias("words"), F.count_if(text.is_noise(F.col("w"))).alias("noisy")
@@ -444,7 +444,7 @@ def _(t):
     base = t.benchmark.select(words.alias("w"))
     pairs = base.select(F.concat_ws(" ", F.get("w", F.lit(0)), F.get("w", F.lit(1))).alias("term"))
     vocab = pairs.unionByName(base.select(F.get("w", F.lit(2)).alias("term"))).distinct()
-    found = skills.find_terms(t.documents, "doc_id", "text", vocab, longest=2)
+    found = skills.find_terms(t.spread("documents", "doc_id"), "doc_id", "text", vocab, longest=2)
     return found.groupBy("term").agg(F.countDistinct("doc_id").alias("docs"), F.count(F.lit(1)).alias("hits"))
 
 
@@ -464,7 +464,7 @@ def _(t):
         .when(kind == 1, F.concat(F.lit(" 20"), F.col("conv_id") % 10 + 10, F.lit(" - nay, Docker"))).otherwise("")
     )
     cv = parsing.parse_cv(F.concat("text", extra), F.lit("2025-06-01").cast("date"))
-    parsed = t.conversations.select("conv_id", "turn", cv.alias("c"))
+    parsed = t.spread("conversations", "conv_id").select("conv_id", "turn", cv.alias("c"))
     return parsed.select(
         "conv_id", "turn", F.coalesce("c.years", F.lit(-1.0)).alias("years"), "c.source", F.array_join("c.skills", "|").alias("skills"), F.col("c.location").alias("location")
     )
@@ -486,7 +486,7 @@ def _(t):
     r"""SELECT doc_id, CASE WHEN length(text) <= 80 THEN text ELSE regexp_replace(left(text, 80), '(?s) [^ ]*$', '') || '...' END AS teaser FROM documents""",
 )
 def _(t):
-    return t.documents.select("doc_id", text.truncate_words(F.col("text"), 80).alias("teaser"))
+    return t.spread("documents", "doc_id").select("doc_id", text.truncate_words(F.col("text"), 80).alias("teaser"))
 
 
 @query(

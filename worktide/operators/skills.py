@@ -60,25 +60,26 @@ def _vocabulary_hits(df: DataFrame, key: str, text: str, vocab: DataFrame, longe
     the one before end.
     """
     prepared = df.select(key, F.split(protect_terms(F.col(text)), " ").alias("_t"))
-    words_before = F.aggregate(
-        "_t", F.array(F.lit(0)),
-        lambda acc, t: F.array_append(acc, F.element_at(acc, -1) + F.when(t.isin(*SEPARATORS), 0).otherwise(1)),
+    words = F.filter(
+        F.transform("_t", lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda e: ~e["t"].isin(*SEPARATORS)
     )
-    prepared = prepared.withColumn("_w", words_before)
+    placed = prepared.withColumn("_w", words).filter(F.size("_w") > 0)
+
+    def gram(j: Column, n: Column) -> Column:
+        first, last = F.get("_w", j)["i"], F.get("_w", j + n - 1)["i"]
+        joined = F.array_join(F.slice(F.col("_t"), first + 1, last - first + 1), " ")
+        return F.struct(
+            first.alias("start"), (last + 1).alias("stop"), j.alias("pos"), (j + n).alias("end"), F.lower(joined).alias("_gram")
+        )
+
     grams = F.flatten(
         F.transform(
-            F.sequence(F.lit(0), F.size("_t") - 1),
-            lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(longest), F.size("_t") - i)),
-                lambda n: F.struct(
-                    i.alias("start"), (i + n).alias("stop"), F.get("_w", i).alias("pos"), F.get("_w", i + n).alias("end"),
-                    F.lower(F.array_join(F.slice(F.col("_t"), i + 1, n), " ")).alias("_gram"),
-                ),
-            ),
+            F.sequence(F.lit(0), F.size("_w") - 1),
+            lambda j: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("_w") - j)), lambda n: gram(j, n)),
         )
     )
     known = vocab.select("skill_type", F.lower(protect_terms(F.col("term"))).alias("_gram")).distinct()
-    hits = prepared.select(key, F.inline(grams)).join(known, "_gram")
+    hits = placed.select(key, F.inline(grams)).join(known, "_gram")
     by_text = Window.partitionBy(key, "skill_type").orderBy("start", F.desc("stop"))
     reach = F.max("end").over(by_text.rowsBetween(Window.unboundedPreceding, -1))
     opened = hits.withColumn("_new", F.when(reach >= F.col("pos"), 0).otherwise(1))

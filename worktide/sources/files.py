@@ -46,6 +46,15 @@ def conform(df: DataFrame, platform: str) -> DataFrame:
     return df.select(*columns, F.lit(platform).alias("platform"))
 
 
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """A plain scan, hashed over all slots when its few splits would leave most of them idle.
+
+    Large tables have many splits and stay as they are; only small single-file inputs are shuffled.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, key)
+
+
 def load_batch(spark: SparkSession, files: Sequence[tuple[str, str]]) -> DataFrame:
     """Read (path, platform) files, one scan per distinct schema and platform, and union them."""
     groups: dict[tuple[str, str], list[str]] = {}
