@@ -12,7 +12,7 @@ WORDS_SQL = r"unnest(regexp_split_to_array(trim(regexp_replace(text, '[\s\x0b\x8
 
 
 def words(t):
-    return t.spread("documents", "doc_id").select("doc_id", "lang", F.explode(F.split(collapse(F.col("text")), " ")).alias("w"))
+    return t.spread("documents", "doc_id").select("doc_id", "lang", F.explode_outer(F.split(collapse(F.col("text")), " ")).alias("w"))
 
 
 # -- W: deduplication and windows ------------------------------------------------------------------

@@ -45,7 +45,8 @@ def find_terms(df: DataFrame, key: str, text: str, vocab: DataFrame, term: str =
             ),
         )
     )
-    exploded = tokens.filter(F.size("_w") > 0).select(key, F.inline(grams))
+    # The outer form keeps Spark from building the n-grams once more in an inferred filter.
+    exploded = tokens.select(key, F.inline_outer(F.when(F.size("_w") > 0, grams)))
     known = vocab.select(term, F.lower(F.trim(term)).alias("_gram")).distinct()
     return exploded.join(known, "_gram").select(key, term, "pos", "size")
 
@@ -63,7 +64,7 @@ def _vocabulary_hits(df: DataFrame, key: str, text: str, vocab: DataFrame, longe
     words = F.filter(
         F.transform("_t", lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda e: ~e["t"].isin(*SEPARATORS)
     )
-    placed = prepared.withColumn("_w", words).filter(F.size("_w") > 0)
+    placed = prepared.withColumn("_w", words)
 
     def gram(j: Column, n: Column) -> Column:
         first, last = F.get("_w", j)["i"], F.get("_w", j + n - 1)["i"]
@@ -79,7 +80,7 @@ def _vocabulary_hits(df: DataFrame, key: str, text: str, vocab: DataFrame, longe
         )
     )
     known = vocab.select("skill_type", F.lower(protect_terms(F.col("term"))).alias("_gram")).distinct()
-    hits = placed.select(key, F.inline(grams)).join(known, "_gram")
+    hits = placed.select(key, F.inline_outer(F.when(F.size("_w") > 0, grams))).join(known, "_gram")
     by_text = Window.partitionBy(key, "skill_type").orderBy("start", F.desc("stop"))
     reach = F.max("end").over(by_text.rowsBetween(Window.unboundedPreceding, -1))
     opened = hits.withColumn("_new", F.when(reach >= F.col("pos"), 0).otherwise(1))
