@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import collapse, fold_accents, let
+from .text import collapse, fold_accents, let, strip_space
 
 # Salary units with currency and multiplier.
 UNIT_SCALE = {"tr": 1_000_000, "triệu": 1_000_000, "trieu": 1_000_000, "k": 1_000, "vnd": 1, "đ": 1, "₫": 1, "usd": 1, "$": 1}
@@ -312,9 +312,6 @@ def requirement_section(text: Column) -> Column:
     character 10 closes it; short results fall back to the longest block, then to the whole text.
     """
 
-    def strip(c: Column) -> Column:
-        return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-
     def first_hit(v: Column, patterns: tuple[str, ...], beyond: int) -> Column:
         """struct(at, size) of the earliest first occurrence of any pattern beyond a position."""
         none = F.lit(None).cast("struct<at:int,size:int>")
@@ -348,23 +345,23 @@ def requirement_section(text: Column) -> Column:
         parts = F.split(v, rule)
         blocks = F.transform(
             F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
-            lambda p, i: F.struct((-F.length(p)).alias("size"), i.alias("rank"), strip(p).alias("text")),
+            lambda p, i: F.struct((-F.length(p)).alias("size"), i.alias("rank"), strip_space(p).alias("text")),
         )
         return F.array_min(F.filter(blocks, lambda b: F.length(b["text"]) > 50))["text"]
 
     def cut(content: Column) -> Column:
         return let(
             first_hit(content, SECTION_ENDS, 10),
-            lambda end: strip(F.when(end.isNull(), content).otherwise(F.substring(content, F.lit(1), end["at"] - 1))),
+            lambda end: strip_space(F.when(end.isNull(), content).otherwise(F.substring(content, F.lit(1), end["at"] - 1))),
         )
 
     def section(v: Column) -> Column:
         def after(start: Column) -> Column:
             body = F.substring(v, start["at"] + start["size"], F.length(v))
-            return let(F.regexp_replace(body, r"(?U)^[\s:*\-–—|]+", ""), cut)
+            return let(F.regexp_replace(body, r"^[\s\x85\p{Z}:*\-–—|]+", ""), cut)
 
         found = let(first_hit(v, SECTION_STARTS, 20), lambda start: F.when(start.isNotNull(), after(start)))
-        fallback = F.coalesce(longest_block(v, SECTION_RULES[0]), longest_block(v, SECTION_RULES[1]), strip(v))
+        fallback = F.coalesce(longest_block(v, SECTION_RULES[0]), longest_block(v, SECTION_RULES[1]), strip_space(v))
         return let(found, lambda f: F.when(F.length(f) > 30, f).otherwise(fallback))
 
     return F.when(F.coalesce(collapse(text), F.lit("")) == "", F.lit("")).otherwise(let(text, section))

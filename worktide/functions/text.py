@@ -9,6 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Unicode white space and word characters as plain classes: same sets as (?U)\\s and \\w, matched faster.
+SPACE = r"[\s\x85\p{Z}]"
+NOT_SPACE = r"[^\s\x85\p{Z}]"
+WORD = r"[\p{L}\p{M}\p{Nd}\p{Pc}]"
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` to a lambda variable so that ``body`` can reuse it without re-evaluating it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -31,15 +37,15 @@ _ACCENTED, _PLAIN = _fold_table()
 
 def collapse(text: Column) -> Column:
     """Runs of (Unicode) whitespace become one space; ends are trimmed."""
-    return F.trim(F.regexp_replace(text, r"(?U)\s\s+|[^\S ]", " "))
+    return F.trim(F.regexp_replace(text, rf"{SPACE}{{2,}}|[\s\x85\p{{Z}}&&[^ ]]", " "))
 
 
 def strip_space(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
 
 
 def non_empty(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+    return let(text, lambda t: F.when(t != "", t))
 
 
 def fold_accents(text: Column) -> Column:
@@ -55,7 +61,7 @@ def unaccent(text: Column) -> Column:
 def _tidy_parentheses(text: Column) -> Column:
     def tidy(t: Column) -> Column:
         spaced = F.regexp_replace(F.regexp_replace(t, r"\( +", "("), r" +\)", ")")
-        spaced = F.regexp_replace(spaced, r"(?U)([^\s(])\(", "$1 (")
+        spaced = F.regexp_replace(spaced, r"([^\s\x85\p{Z}(])\(", "$1 (")
         return F.when(t.contains("(") | t.contains(")"), spaced).otherwise(t)
 
     return let(text, tidy)
@@ -67,15 +73,15 @@ def normalize_common(text: Column) -> Column:
 
 def normalize_name(text: Column) -> Column:
     """As ``normalize_common`` but with spaced punctuation and without special characters."""
-    text = F.regexp_replace(text, r"(?U),(\S)", ", $1")
-    text = F.regexp_replace(text, r"(?U)(\S)-(\S)", "$1 - $2")
-    text = F.regexp_replace(text, r"(?U)(?<!\s)/(?!\s)", " / ")
-    text = F.regexp_replace(text, r"(?U)[^\w\s.,\-/()]", " ")
+    text = F.regexp_replace(text, rf",({NOT_SPACE})", ", $1")
+    text = F.regexp_replace(text, rf"({NOT_SPACE})-({NOT_SPACE})", "$1 - $2")
+    text = F.regexp_replace(text, rf"(?<!{SPACE})/(?!{SPACE})", " / ")
+    text = F.regexp_replace(text, r"[^\p{L}\p{M}\p{Nd}\p{Pc}\s\x85\p{Z}.,\-/()]", " ")
     return normalize_common(text)
 
 
 def split_camel(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?<=\p{Ll})(?=\p{Lu})", " ")
+    return F.regexp_replace(text, r"(?=\p{Lu})(?<=\p{Ll})", " ")
 
 
 def clean_requirement(text: Column) -> Column:
@@ -89,8 +95,8 @@ def clean_requirement(text: Column) -> Column:
     text = F.regexp_replace(text, r"[()]", " ")
     text = split_camel(text)
     text = F.regexp_replace(text, r"([.!?;:])", " $1 ")
-    text = F.regexp_replace(text, r"(?U)\b([A-Za-z]|[IVXLCM]+|\d+)\s*\.", " ")
-    return strip_space(F.regexp_replace(text, r"(?U)\s{2,}", " "))
+    text = F.regexp_replace(text, rf"(?<!{WORD})(?:[A-Za-z]|[IVXLCM]+|\p{{Nd}}+){SPACE}*\.", " ")
+    return strip_space(F.regexp_replace(text, rf"{SPACE}{{2,}}", " "))
 
 
 # Compound terms that separators must not break, in matching order.
@@ -119,9 +125,9 @@ def protect_terms(text: Column, terms: Sequence[str] = COMPOUND_TERMS) -> Column
 
 def normalize_skill(skill: Column, min_length: int = 2) -> Column:
     """Match key of a skill name; null when it is too short to mean anything."""
-    text = F.regexp_replace(fold_accents(F.lower(F.trim(skill))), r"(?U)[\s_/|;,]+", " ")
+    text = F.regexp_replace(fold_accents(F.lower(F.trim(skill))), r"[\s\x85\p{Z}_/|;,]+", " ")
     text = collapse(F.regexp_replace(text, r"[^0-9a-zA-Z#+. ]", " "))
-    return F.when(F.length(text) >= min_length, text)
+    return let(text, lambda t: F.when(F.length(t) >= min_length, t))
 
 
 def _has_upper(text: Column) -> Column:
@@ -155,7 +161,7 @@ def split_span(span: Column) -> Column:
     text = F.regexp_replace(strip_space(span), r"^[()\[\]\"' ]+|[()\[\]\"' ]+$", "")
     text = F.translate(text, "–—…", "--.")
     text = split_camel(text)
-    text = F.regexp_replace(text, r"(?U)^[\s.,;:!?\-]+|[\s.,;:!?\-]+$", "")
+    text = F.regexp_replace(text, r"^[\s\x85\p{Z}.,;:!?\-]+|[\s\x85\p{Z}.,;:!?\-]+$", "")
     text = F.regexp_replace(collapse(text), r"(?<=\S) \p{Lu}$", "")
     parts = F.transform(F.split(text, r"[,/;]"), lambda p: F.trim(p))
     return F.coalesce(F.filter(parts, is_reasonable_skill), F.array().cast("array<string>"))
@@ -197,9 +203,11 @@ def smart_capitalize(text: Column) -> Column:
     """Sentence case that leaves acronyms, digits and mixed case alone."""
     words = F.split(collapse(text), " ")
     joined = F.array_join(F.transform(words, lambda w: F.when(_keeps_case(w), w).otherwise(F.lower(w))), " ")
-    return F.when(collapse(text) == "", text).otherwise(
-        F.concat(F.upper(F.substring(joined, 1, 1)), F.substring(joined, F.lit(2), F.length(joined)))
-    )
+
+    def sentence(t: Column) -> Column:
+        return F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, F.lit(2), F.length(t)))
+
+    return F.when(collapse(text) == "", text).otherwise(let(joined, sentence))
 
 
 def smart_title(text: Column) -> Column:

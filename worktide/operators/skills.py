@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import is_noise, protect_terms, smart_title, split_span
+from ..functions.text import collapse, is_noise, protect_terms, smart_title, split_span
 from ..session import cut_lineage
 from .grid import dense, grid_top_k
 from .merge import only_new
@@ -31,7 +31,7 @@ def find_terms(df: DataFrame, key: str, text: str, vocab: DataFrame, term: str =
     Texts become word n-grams that meet the vocabulary in an equi-join, so cost grows with the text
     and not with text x vocabulary. Terms of more than ``longest`` words need a larger value.
     """
-    clean = F.lower(F.regexp_replace(F.col(text), r"(?U)[^\w+#.]+", " "))
+    clean = F.lower(F.regexp_replace(F.col(text), r"[^\p{L}\p{M}\p{Nd}\p{Pc}+#.]+", " "))
     words = F.filter(F.split(F.regexp_replace(clean, r"\.(?= |$)", ""), " "), lambda w: w != "")
     tokens = df.select(key, words.alias("_w"))
     grams = F.flatten(
@@ -270,7 +270,7 @@ def mark_noise(mapping: DataFrame, canonical: str = "canonical_skill") -> DataFr
 
 def canonical_list(df: DataFrame, key: str, skills: str, lookup: DataFrame) -> DataFrame:
     """Skill lists through a (raw_skill, canonical) lookup: unknown ones drop, repeats keep the first."""
-    low = F.lower(F.trim(F.regexp_replace("raw", r"(?U)\s+", " ")))
+    low = F.lower(collapse(F.col("raw")))
     long = df.select(key, F.posexplode(skills).alias("pos", "raw")).withColumn("raw_skill", low)
     firsts = long.join(lookup, "raw_skill").groupBy(key, "canonical").agg(F.min("pos").alias("pos"))
     lists = firsts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "canonical"))).alias("_items"))
