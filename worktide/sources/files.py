@@ -6,7 +6,6 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -83,14 +82,37 @@ def quarantine(spark: SparkSession, files: Sequence[tuple[str, str]]) -> tuple[l
     return good, bad
 
 
+def list_files(spark: SparkSession, glob: str) -> DataFrame:
+    """(path, length) of the files of a glob, empty ones included; contents are not read.
+
+    Spark's own file sources leave out empty files, so a task lists the folder instead.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from fnmatch import fnmatch
+        from re import split
+
+        import pyarrow.fs as pafs
+
+        for batch in batches:
+            for pattern in batch["glob"]:
+                base = split(r"[*?\[]", pattern)[0].rsplit("/", 1)[0] or "/"
+                system, root = pafs.FileSystem.from_uri(base)
+                nested = "/" in pattern[len(base) :].strip("/")
+                found = [
+                    (base + info.path[len(root) :], info.size)
+                    for info in system.get_file_info(pafs.FileSelector(root, recursive=nested, allow_not_found=True))
+                    if info.is_file and fnmatch(base + info.path[len(root) :], pattern)
+                ]
+                yield pd.DataFrame(found, columns=["path", "length"])
+
+    return spark.createDataFrame([(glob,)], "glob string").mapInPandas(run, "path string, length bigint")
+
+
 def discover_files(spark: SparkSession, glob: str, platform: str) -> DataFrame:
     """Pending queue rows for every file of a glob; file contents are not read."""
-    try:
-        listing = spark.read.format("binaryFile").load(glob).select("path")
-    except AnalysisException:
-        listing = spark.createDataFrame([], "path string")
     now = F.current_timestamp()
-    return listing.select(
+    return list_files(spark, glob).select(
         F.col("path").alias("file_path"), F.lit(platform).alias("platform"), F.lit("pending").alias("status"),
         now.alias("created_at"), now.alias("updated_at"),
     )
@@ -210,13 +232,12 @@ def rewrite_and_verify(spark: SparkSession, source: str, target: str, files: int
 SCAN_SCHEMA = "path string, status string, error string, num_rows bigint, num_cols int, size_bytes bigint, schema string"
 
 
-def scan_files(spark: SparkSession, glob: str, recursive: bool = False) -> DataFrame:
+def scan_files(spark: SparkSession, glob: str) -> DataFrame:
     """Health of every Parquet file: size, rows, columns, schema and empty/corrupt status.
 
     Each task opens its share of files and reads the footer and first row group only.
     """
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(glob)
-    names = listing.select("path", "length")
+    names = list_files(spark, glob)
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.fs as pafs
@@ -230,8 +251,7 @@ def scan_files(spark: SparkSession, glob: str, recursive: bool = False) -> DataF
                     row[1:3] = ["empty", "0 bytes"]
                 else:
                     try:
-                        url = path if "://" in path else path.replace("file:", "file://", 1)
-                        system, inner = pafs.FileSystem.from_uri(url)
+                        system, inner = pafs.FileSystem.from_uri(path)
                         with system.open_input_file(inner) as handle:
                             footer = pq.ParquetFile(handle)
                             row[3:5] = [footer.metadata.num_rows, footer.metadata.num_columns]
@@ -257,5 +277,4 @@ def schema_mismatches(scan: DataFrame) -> DataFrame:
 
 
 def folder_bytes(spark: SparkSession, glob: str) -> int:
-    listing = spark.read.format("binaryFile").load(glob)
-    return listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return list_files(spark, glob).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
