@@ -107,7 +107,8 @@ def extract_skills(
         spans = df.select(key, text).mapInPandas(model_fn, f"{key} {kind}, skill_type string, span string, pos int")
     else:
         spans = _vocabulary_hits(df, key, text, vocab, longest)
-    names = spans.select(key, "skill_type", "pos", F.posexplode(split_span(F.col("span"))).alias("sub", "name"))
+    pieces = F.posexplode_outer(split_span(F.col("span"))).alias("sub", "name")
+    names = spans.select(key, "skill_type", "pos", pieces).filter(F.col("name").isNotNull())
     firsts = names.groupBy(key, "skill_type", F.lower("name").alias("_low")).agg(
         F.min(F.struct("pos", "sub", "name")).alias("_item")
     )
