@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, packing
+from . import bpe, fingerprints, language, licenses, lines, packing, url_rules
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -54,3 +54,40 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_pack")
 def op4_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), VOCABULARY)
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language.learn(documents.where(~held_out), "doc_id", "text", "lang")
+    found = language.identify(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "lang_margin")
+
+
+#: Host, path and verdict of the given URL rules.
+URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
+
+
+@query("op7_url_rules")
+def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge(table(spark, folder, "pages"), URL_RULES)
+
+
+@query(
+    "op9_line_dedup",
+    rf"""WITH l AS (SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+    k AS (SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    hot AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3),
+    m AS (SELECT k.doc_id, pos, line, coalesce(last <> doc_id, false) AS gone FROM k LEFT JOIN hot USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY 1""",
+)
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    kept = lines.apply_bitmaps(documents, lines.keep_bitmaps(documents))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op10_licenses", licenses.scan_sql())
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
