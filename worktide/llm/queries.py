@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, language, licenses, lines, packing, url_rules
+from . import ann, bpe, fingerprints, language, licenses, lines, packing, toxicity, url_rules
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -91,3 +91,18 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_licenses", licenses.scan_sql())
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
+
+
+@query("op6_ann")
+def op6_ann(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.learn(documents, table(spark, folder, "labels").where(~held_out))
+    found = toxicity.score(documents, model)
+    return found.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
