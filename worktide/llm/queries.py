@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, fingerprints, language, licenses, lines, packing, toxicity, url_rules
+from . import ann, bpe, chosen_path, fingerprints, language, licenses, lines, packing, toxicity, url_rules
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -106,3 +106,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.learn(documents, table(spark, folder, "labels").where(~held_out))
     found = toxicity.score(documents, model)
     return found.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op2_near_dedup")
+def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.components(table(spark, folder, "documents"))
