@@ -45,6 +45,26 @@ def byte_symbols() -> list[str]:
     return [symbols[b] for b in range(256)]
 
 
+class Table:
+    """Ids of strings, all in one array."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.flat, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, names: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.rows.update(zip(names, range(len(self.start), len(self.start) + len(names)), strict=True))
+        self.start = np.append(self.start, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.size, self.flat = np.append(self.size, sizes), np.append(self.flat, flat)
+
+    def take(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the given strings behind one another, and how many each has."""
+        rows = np.fromiter(map(self.rows.__getitem__, names), np.int64, len(names))
+        sizes = self.size[rows]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.start[rows] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
+
+
 class WordBpe:
     """Encoder and decoder of one vocabulary with word ends; small enough to be sent to every executor."""
 
@@ -52,8 +72,7 @@ class WordBpe:
         self.tokens, self.pairs, self.first, self.last, self.special = tokens, pairs, first, last, special
         self.keys = np.array(sorted(pairs), np.int64)
         self.merges = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
-        self.cache: dict[str, tuple[int, ...]] = {}  # of runs
-        self.known: dict[str, tuple[int, ...]] = {}  # of words
+        self.runs, self.words = Table(), Table()
 
     @classmethod
     def load(cls, path: str) -> WordBpe:
@@ -72,7 +91,7 @@ class WordBpe:
         return cls(tokens, pairs, [vocab[s] for s in symbols], [vocab[s + end] for s in symbols], special)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k in ("tokens", "pairs", "first", "last", "special", "keys", "merges")} | {"cache": {}, "known": {}}
+        return {k: v for k, v in self.__dict__.items() if k in ("tokens", "pairs", "first", "last", "special", "keys", "merges")} | {"runs": Table(), "words": Table()}
 
     @cached_property
     def _words(self):
@@ -120,25 +139,29 @@ class WordBpe:
                 ranks[r, c] = self._merge_of(ids[r, c], ids[r, c + 1])
         return done, count
 
-    def parts(self, words: list[str]) -> list[tuple[int, ...]]:
-        """The ids of each word."""
+    def parts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words behind one another, and how many each word has."""
         data = [w.encode("utf-8", "surrogatepass") for w in words]
-        out: list[tuple[int, ...]] = [()] * len(words)
-        by_size: dict[int, list[int]] = {}
-        for i, word in enumerate(data):
-            by_size.setdefault(len(word), []).append(i)
-        for size, at in by_size.items():
+        sizes = np.fromiter(map(len, data), np.int64, len(data))
+        counts, found = np.zeros(len(data), np.int64), []
+        for size in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == size)
             if size > SCAN_LIMIT:
-                for i in at:
+                for i in at.tolist():
                     ids = [self.first[b] for b in data[i]]
                     ids[-1] = self.last[data[i][-1]]
-                    out[i] = tuple(self._by_heap(ids))
-            elif size:
-                block = np.frombuffer(b"".join(data[i] for i in at), np.uint8).reshape(len(at), size)
-                ids, count = self._scan(block)
-                for i, row, n in zip(at, ids.tolist(), count.tolist(), strict=True):
-                    out[i] = tuple(row[:n])
-        return out
+                    part = np.array(self._by_heap(ids), np.int32)
+                    counts[i] = len(part)
+                    found.append((np.full(len(part), i), part))
+            else:
+                block = np.frombuffer(b"".join([data[i] for i in at.tolist()]), np.uint8).reshape(len(at), size)
+                ids, counts[at] = self._scan(block)
+                there = np.arange(size) < counts[at][:, None]
+                found.append((np.repeat(at, counts[at]), ids[there].astype(np.int32)))
+        if not found:
+            return np.zeros(0, np.int32), counts
+        owner, flat = (np.concatenate(x) for x in zip(*found, strict=True))
+        return flat[np.argsort(owner, kind="stable")], counts
 
     def _by_heap(self, ids: list[int]) -> list[int]:
         """The same merges in the same order: lowest rank first, leftmost first among equals."""
@@ -169,35 +192,44 @@ class WordBpe:
         return out
 
     def _learn(self, runs: set[str]) -> None:
-        """Put the ids of the given runs into the cache, which is emptied first if it is full."""
-        cache = self.cache
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
-        words = {}
-        for run in runs - cache.keys():
-            if run in self.special:
-                cache[run] = (self.special[run],)
+        """Put the ids of the given runs into the tables, which are emptied first if they are full."""
+        if max(len(self.runs.rows), len(self.words.rows)) > CACHED_WORDS:
+            self.runs, self.words = Table(), Table()
+        new = list(runs - self.runs.rows.keys())
+        if not new:
+            return
+        words: list[str] = []
+        counts, find, specials = np.ones(len(new), np.int64), self._words.findall, self.special
+        for i, run in enumerate(new):
+            if run in specials:
+                words.append(run)
                 continue
             plain = run if run.isascii() else unicodedata.normalize("NFC", run).replace("Σ", "σ")  # no final sigma
-            words[run] = self._words.findall(plain.lower())
-        new = list({w for ws in words.values() for w in ws} - self.known.keys())
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-            new = list({w for ws in words.values() for w in ws})
-        self.known.update(zip(new, self.parts(new), strict=True))
-        for run, ws in words.items():
-            cache[run] = self.known[ws[0]] if len(ws) == 1 else tuple(i for w in ws for i in self.known[w])
-
-    def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, list[int]]:
+            plain = plain.lower()
+            if plain.isalpha() and plain.isascii():
+                words.append(plain)
+            else:
+                found = find(plain)
+                words += found
+                counts[i] = len(found)
+        unknown = list(set(words) - self.words.rows.keys())
+        named = [w for w in unknown if w in specials]
+        if named:
+            self.words.add(named, np.array([specials[w] for w in named], np.int32), np.ones(len(named), np.int64))
+            unknown = [w for w in unknown if w not in specials]
+        self.words.add(unknown, *self.parts(unknown))
+        ids, sizes = self.words.take(words)
+        ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]
+        self.runs.add(new, ids, np.diff(ends))
+
+    def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts behind one another, and where each text's ids end, from 0 on."""
         pieces = [self._pieces(t) if t else [] for t in texts]
-        self._learn(set().union(*pieces))
-        ids: list[int] = []
-        ends, get = [0], self.cache.__getitem__
-        for piece in pieces:
-            ids.extend(chain.from_iterable(map(get, piece)))
-            ends.append(len(ids))
-        return np.array(ids, np.int32), ends
+        runs = list(chain.from_iterable(pieces))
+        self._learn(set(runs))
+        ids, sizes = self.runs.take(runs)
+        ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum([len(p) for p in pieces]))]
+        return ids, ends
 
     def encode(self, text: str) -> list[int]:
         """The ids of a text; the strings of special tokens in it become their ids, none are added."""
@@ -221,7 +253,7 @@ def encode_column(df: DataFrame, path: str, text: str = "text", out: str = "ids"
         bpe = model.value
         for batch in slices(batches, "_bpe_text"):
             ids, ends = bpe.encode_batch(batch.column("_bpe_text").to_pylist())
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+            column = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column(f"_bpe_{i}") for i in range(len(keep))] + [column], [*keep, out])
 
     fields = [df.schema[k] for k in keep]
@@ -231,7 +263,8 @@ def encode_column(df: DataFrame, path: str, text: str = "text", out: str = "ids"
 
 
 def decode_column(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """All columns and ``out``, the text that ``ids`` stand for; null ids give a null text."""
+    """All columns and ``out``, the text that ``ids`` stand for; null ids give a null text, a column named ``out`` is replaced."""
+    df = df.drop(out)
     model = df.sparkSession.sparkContext.broadcast(WordBpe.load(path))
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
