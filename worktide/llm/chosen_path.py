@@ -3,8 +3,9 @@
 A document is the set of its word shingles, sketched by minwise tokens. Each of several independent trees
 branches documents by chosen minwise tokens: those that share a token share a node. Small nodes are compared
 exhaustively. A large node is compared with pivots drawn from it, and what the pivots do not settle branches
-again by further tokens; at the last depth every open pair is compared, in blocks. Links are confirmed on
-full sets, and pairs that links already connect are not compared, so a group of n copies costs about n links.
+again by further tokens; where branching hardly divides a node, its documents are alike and every open pair is
+compared, in blocks. Links are confirmed on full sets, and pairs that links already connect are not compared,
+so a group of n copies costs about n links.
 """
 
 from __future__ import annotations
@@ -18,13 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import LOWER, UPPER, runs, slices
+from .common import LOWER, UPPER, Scratch, runs, slices
 
 TOKENS = 64  # minwise tokens of a sketch
 TREES = 8  # of two documents at the threshold 0.85, all eight miss with probability 3e-7
 BRANCHES = 2  # children of a document in a large node: above 1 / 0.85, so paths of linked documents survive
-DEPTH = 4
-NODE = 192  # documents of a small node, and about the pivots of a large one
+DEPTH = 8
+ALIKE = 0.5  # a child with this share of its parent is not branched further
+NODE = 384  # documents of a small node, and about the pivots of a large one
 PROBABLE = 0.6  # sketches of two linked documents agree on fewer tokens with probability below 1e-6
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -138,75 +140,77 @@ def _compare(percent: int):
     return links
 
 
-def connect(edges: DataFrame) -> DataFrame:
+def connect(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """_from, _to: the smallest label that each label of ``edges`` (_a, _b) reaches.
 
-    Each round hooks every label to its smallest neighbour, follows the hooks to their ends, and goes on with
-    the edges between different ends; at least half of the labels that still have edges vanish in a round.
+    Each round hooks every label to its smallest neighbour, follows the hooks four steps, and goes on with the
+    edges between different ends; a label that is not yet at its end still has an edge towards it.
     """
     ends = None
-    open_edges = cut_lineage(edges.select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b")).where("_a <> _b").distinct())
-    while not open_edges.isEmpty():
+    open_edges = edges.select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b")).where("_a <> _b")
+    while True:
+        open_edges = scratch.write(open_edges.distinct())
+        if open_edges.isEmpty():
+            return ends if ends is not None else open_edges.select(F.col("_a").alias("_from"), F.col("_b").alias("_to"))
         both = open_edges.select("_a", "_b").unionByName(open_edges.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
-        hooks = cut_lineage(both.groupBy("_a").agg(F.min("_b").alias("_low")).select(F.col("_a").alias("_from"), F.least("_a", "_low").alias("_to")))
-        while True:
-            onward = hooks.select(F.col("_from").alias("_to"), F.col("_to").alias("_next")).where("_to <> _next")
-            jumped = cut_lineage(hooks.join(onward, "_to", "left").select("_from", F.coalesce("_next", "_to").alias("_to"), F.col("_next").isNotNull().alias("_moved")))
-            hooks = jumped.select("_from", "_to")
-            if jumped.where("_moved").isEmpty():
-                break
+        hooks = both.groupBy("_a").agg(F.min("_b").alias("_low")).select(F.col("_a").alias("_from"), F.least("_a", "_low").alias("_to"))
+        for _ in range(2):
+            hooks = scratch.write(hooks)
+            onward = hooks.select(F.col("_from").alias("_to"), F.col("_to").alias("_next"))
+            hooks = hooks.join(onward, "_to").select("_from", F.col("_next").alias("_to"))
+        hooks = scratch.write(hooks)
         if ends is None:
             ends = hooks
         else:
             onward = hooks.select(F.col("_from").alias("_to"), F.col("_to").alias("_next"))
-            ends = cut_lineage(ends.join(onward, "_to", "left").select("_from", F.coalesce("_next", "_to").alias("_to")))
+            ends = scratch.write(ends.join(onward, "_to", "left").select("_from", F.coalesce("_next", "_to").alias("_to")))
         ahead = hooks.select(F.col("_from").alias("_a"), F.col("_to").alias("_x"))
         moved = open_edges.join(ahead, "_a").select(F.col("_x"), F.col("_b").alias("_a")).join(ahead.withColumnRenamed("_x", "_y"), "_a")
-        open_edges = cut_lineage(moved.select(F.greatest("_x", "_y").alias("_a"), F.least("_x", "_y").alias("_b")).where("_a <> _b").distinct())
-    return ends if ends is not None else edges.select(F.col("_a").alias("_from"), F.col("_b").alias("_to")).limit(0)
+        open_edges = moved.select(F.greatest("_x", "_y").alias("_a"), F.least("_x", "_y").alias("_b")).where("_a <> _b")
 
 
-def _resolve(rows: DataFrame, labels: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _resolve(rows: DataFrame, labels: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """The labels (_u, _label) after all links that the nodes ``rows`` (_node, _u) show."""
+    rows = rows.withColumn("_parent", F.lit(None).cast("long"))
     for depth in range(DEPTH + 1):
         labelled = rows.join(labels, "_u")
-        counts = labelled.groupBy("_node", "_label").agg(F.count(F.lit(1)).alias("_m"))
-        stats = cut_lineage(
-            counts.groupBy("_node").agg(F.sum("_m").alias("_all"), F.max(F.struct("_m", "_label")).alias("_top")).where(F.col("_all") > F.col("_top._m"))
-            .select("_node", "_all", F.col("_top._label").alias("_major"), (F.col("_all") - F.col("_top._m")).alias("_minor"))
+        counts = labelled.groupBy("_node", "_label").agg(F.count(F.lit(1)).alias("_m"), F.max("_parent").alias("_parent"))
+        stats = scratch.write(
+            counts.groupBy("_node").agg(F.sum("_m").alias("_all"), F.max("_parent").alias("_parent"), F.max(F.struct("_m", "_label")).alias("_top"))
+            .where(F.col("_all") > F.col("_top._m"))
+            .select("_node", "_all", F.col("_top._label").alias("_major"), (F.col("_all") - F.col("_top._m")).alias("_minor"),
+                    ((F.col("_all") > ALIKE * F.coalesce("_parent", F.lit(1 << 60))) | F.lit(depth == DEPTH)).alias("_last"))
         )
         if stats.isEmpty():
             return labels
-        live = cut_lineage(labelled.join(stats, "_node"))
-        # Documents outside a large node's largest class are its pivots, all of them if they are few or at the last depth.
+        live = scratch.write(labelled.drop("_parent").join(stats, "_node"))
+        # Documents outside a large node's largest class are its pivots: a part of them, or all where it is settled now.
+        large, last = F.col("_all") > NODE, F.col("_last")
+        parts, rounds = F.ceil(F.col("_all") / NODE), F.when(last, F.ceil(F.col("_minor") / NODE)).otherwise(F.lit(1))
+        up_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), (n - 1).cast("long")))
         spot = F.pmod(F.xxhash64("_u", F.lit(depth)), F.lit(1 << 40))
-        large, last = F.col("_all") > NODE, depth == DEPTH
-        parts, rounds = F.ceil(F.col("_all") / NODE), F.ceil(F.col("_minor") / NODE)
-        own_part = F.when(large, spot % parts).otherwise(F.lit(0))
-        slices_of = F.when(large, rounds).otherwise(F.lit(1)) if last else F.lit(1)
-        members = live.select("_node", own_part.alias("_part"), F.explode(F.sequence(F.lit(0).cast("long"), (slices_of - 1).cast("long"))).alias("_slice"), F.lit(False).alias("_pivot"), "_u", "_label")
-        drawn = live.where(large & (F.col("_label") != F.col("_major")))
-        if not last:
-            drawn = drawn.where(F.pmod(F.xxhash64("_u", F.lit(-1 - depth)), F.col("_minor")) < NODE)
+        members = live.select(
+            "_node", F.when(large, spot % parts).otherwise(F.lit(0)).cast("long").alias("_part"),
+            up_to(F.when(large, rounds).otherwise(F.lit(1))).alias("_slice"), F.lit(False).alias("_pivot"), "_u", "_label",
+        )
+        drawn = live.where(large & (F.col("_label") != F.col("_major")) & (last | (F.pmod(F.xxhash64("_u", F.lit(-1 - depth)), F.col("_minor")) < NODE)))
         pivots = drawn.select(
-            "_node", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))).alias("_part"),
-            (F.pmod(F.xxhash64("_u", F.lit(7)), rounds) if last else F.lit(0)).cast("long").alias("_slice"), F.lit(True).alias("_pivot"), "_u", "_label",
+            "_node", up_to(parts).alias("_part"), F.pmod(F.xxhash64("_u", F.lit(7)), rounds).cast("long").alias("_slice"), F.lit(True).alias("_pivot"), "_u", "_label",
         )
-        blocks = members.select("_node", F.col("_part").cast("long").alias("_part"), "_slice", "_pivot", "_u", "_label").unionByName(pivots).join(sets, "_u").drop("_u")
-        edges = cut_lineage(runs(blocks, ["_node", "_part", "_slice"], _compare(percent), "_a long, _b long"))
+        blocks = members.unionByName(pivots).join(sets, "_u").drop("_u")
+        edges = scratch.write(runs(blocks, ["_node", "_part", "_slice"], _compare(percent), "_a long, _b long"))
         if not edges.isEmpty():
-            moved = connect(edges).select(F.col("_from").alias("_label"), "_to")
-            labels = cut_lineage(labels.join(moved, "_label", "left").select("_u", F.coalesce("_to", "_label").alias("_label")))
-        if last:
-            return labels
-        rest = live.where(large & (F.col("_minor") > NODE)).select("_node", "_u")
-        if rest.isEmpty():
-            return labels
+            moved = connect(edges, scratch).select(F.col("_from").alias("_label"), "_to")
+            labels = scratch.write(labels.join(moved, "_label", "left").select("_u", F.coalesce("_to", "_label").alias("_label")))
+        rest = live.where(large & ~last & (F.col("_minor") > NODE)).select("_node", "_u", F.col("_all").alias("_parent"))
         branches = F.explode(F.array(*[F.lit(depth * BRANCHES + b) for b in range(BRANCHES)]))
         chosen = F.pmod(F.xxhash64("_node", "_branch"), F.lit(TOKENS)).cast("int")
-        rows = cut_lineage(
-            rest.join(sketches, "_u").select("_node", "_u", "_sig", branches.alias("_branch")).select("_u", F.xxhash64("_node", "_branch", _token(chosen)).alias("_node"))
+        rows = scratch.write(
+            rest.join(sketches, "_u").select("_node", "_u", "_parent", "_sig", branches.alias("_branch"))
+            .select("_u", F.xxhash64("_node", "_branch", _token(chosen)).alias("_node"), "_parent")
         )
+        if rows.isEmpty():
+            return labels
     return labels
 
 
@@ -218,33 +222,36 @@ def components(df: DataFrame, key: str = "doc_id", text: str = "text", size: int
     linked with nothing, like rows without a key. Equal sets are one document until the end, so exact
     copies and repeated rows cost one aggregation.
     """
-    base = cut_lineage(_sets(df, key, text, size, whole=False))
+    scratch = Scratch(df.sparkSession)
+    base = scratch.write(_sets(df, key, text, size, whole=False))
     some = base.where("_n > 0 AND _k IS NOT NULL")
-    reps = cut_lineage(some.groupBy("_u").agg(F.min("_k").alias("_label"), F.max("_sig").alias("_sig")))
+    reps = scratch.write(some.groupBy("_u").agg(F.min("_k").alias("_label"), F.max("_sig").alias("_sig")))
     sketches = reps.select("_u", "_sig")
     paths = reps.select("_u", F.posexplode(F.array(*[_token(i) for i in range(TREES)])).alias("_tree", "_value"))
     paths = paths.select("_u", "_tree", F.xxhash64("_tree", "_value").alias("_node"))
-    shared = cut_lineage(paths.groupBy("_node").agg(F.count(F.lit(1)).alias("_all")).where("_all > 1"))
-    met = cut_lineage(paths.join(shared, "_node"))
+    shared = scratch.write(paths.groupBy("_node").agg(F.count(F.lit(1)).alias("_all")).where("_all > 1"))
+    met = scratch.write(paths.join(shared, "_node"))
     small = met.where(F.col("_all") <= NODE).select("_node", "_u").join(sketches, "_u")
     probable = runs(small, ["_node"], _probable, "_u binary").unionByName(met.where(F.col("_all") > NODE).select("_u"))
-    candidates = cut_lineage(probable.distinct())
-    labels = cut_lineage(reps.join(candidates, "_u").select("_u", "_label"))
+    candidates = scratch.write(probable.distinct())
+    labels = scratch.write(reps.join(candidates, "_u").select("_u", "_label"))
     firsts = labels.select(F.col("_label").alias("_first")).distinct()
     source = df.select(F.col(key).cast("long").alias("_first"), F.col(text).alias("_text")).join(firsts, "_first")
-    found = _sets(source, "_first", "_text", size, whole=True).select("_u", "_n", "_set").dropDuplicates(["_u"])
-    sets = cut_lineage(found)
-    nodes = cut_lineage(met.join(candidates, "_u").select("_node", "_u", "_tree"))
-    # The first trees find most links; the nodes of the others are then mostly of one class and drop out.
-    for first, stop in ((0, 2), (2, TREES)):
-        labels = _resolve(nodes.where(F.col("_tree").between(first, stop - 1)).select("_node", "_u"), labels, sketches, sets, percent)
-    known = cut_lineage(reps.select("_u", F.col("_label").alias("_own")).join(labels, "_u", "left").select("_u", F.coalesce("_label", "_own").alias("_component")))
+    sets = scratch.write(_sets(source, "_first", "_text", size, whole=True).select("_u", "_n", "_set").dropDuplicates(["_u"]))
+    nodes = scratch.write(met.join(candidates, "_u").select("_node", "_u", "_tree"))
+    # The first tree finds most links; the nodes of the others are then mostly of one class and drop out.
+    for first, stop in ((0, 1), (1, TREES)):
+        labels = _resolve(nodes.where(F.col("_tree").between(first, stop - 1)).select("_node", "_u"), labels, sketches, sets, percent, scratch)
+    known = reps.select("_u", F.col("_label").alias("_own")).join(labels, "_u", "left").select("_u", F.coalesce("_label", "_own").alias("_component"))
+    known = scratch.write(known)
     linked = some.join(known, "_u").select("_k", "_n", "_component")
     alone = base.where("_n = 0 OR _k IS NULL").select("_k", "_n", F.col("_k").alias("_component"))
-    return linked.unionByName(alone).select(
+    found = cut_lineage(linked.unionByName(alone).select(
         F.col("_k").alias(key), F.col("_n").alias("n_shingles"), F.col("_component").alias("component_id"),
         F.coalesce(F.col("_k") == F.col("_component"), F.lit(True)).alias("kept"),
-    )
+    ))
+    scratch.remove()
+    return found
 
 
 def drop_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 #: The white space of all contracts: a space and the control characters tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -82,3 +85,24 @@ def runs(
 
     placed = df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, *order)
     return placed.mapInArrow(stream, schema)
+
+
+class Scratch:
+    """Tables written to the shared folder, so that lost executors lose nothing and plans stay short.
+
+    Iterations read them back as plain scans: their plans do not carry what earlier rounds derived.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root, self.count = spark, f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}", 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.root}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        """Delete all tables written; what still reads them must be written elsewhere."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
