@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from worktide.functions import scoring
 from worktide.operators import aggregates as agg
 from worktide.operators import collaborative, joins, matching, merge, series, skills, windows
 from worktide.operators.prefix import ordered_prefix
@@ -225,9 +226,46 @@ def test_cosine_of_hot_profiles_equals_the_grid(spark):
     rng = np.random.default_rng(1)
     data = [(u, i, float(rng.integers(1, 6))) for u in range(25) for i in range(30) if u == 0 or rng.random() < 0.25]
     df = spark.createDataFrame(data, "user int, item int, rating double")
-    plain = collaborative.neighbours(df, "user", "item", "rating", k=5)
-    split = collaborative.neighbours(df, "user", "item", "rating", k=5, row_limit=8)
-    assert rows(plain, "user", "neighbour") == rows(split.select(*plain.columns), "user", "neighbour")
+    profile = {}
+    for u, i, r in data:
+        profile.setdefault(u, np.zeros(30))[i] = r
+    want = []
+    for u, a in profile.items():
+        sims = [(n, round(float(a @ b / np.linalg.norm(a) / np.linalg.norm(b)), 9)) for n, b in profile.items() if n != u and a @ b > 0]
+        want += [(u, n, s) for n, s in sorted(sims, key=lambda x: (-x[1], x[0]))[:5]]
+    found = collaborative.neighbours(df, "user", "item", "rating", k=5).select("user", "neighbour", "sim")
+    assert [tuple(r) for r in rows(found, "user", "neighbour")] == sorted(want)
+
+
+def test_leaders_of_zero_null_and_repeated_vectors_end(spark):
+    items = [("a", [1.0, 0.0], 1), ("b", [0.99, 0.01], 2), ("z1", [0.0, 0.0], 3), ("z2", [0.0, 0.0], 4), ("n", None, 5), ("c", [1.0, 0.0], 2)]
+    df = spark.createDataFrame(items, "item string, vector array<double>, rank int")
+    found = {r.item: r.leader for r in skills.leaders(df, "item", "vector", "rank").collect()}
+    assert found == {"a": "a", "b": "a", "c": "a", "z1": "z1", "z2": "z2", "n": "n"}
+
+
+def test_terms_of_any_length_are_found(spark):
+    vocab = spark.createDataFrame([("one two three four five six", "tech"), ("two", "tech")], "term string, skill_type string")
+    df = spark.createDataFrame([(1, "zero one two three four five six seven"), (2, ""), (3, None)], "id int, text string")
+    assert rows(skills.find_terms(df, "id", "text", vocab).select("id", "term", "pos", "size"), "term") == [(1, "one two three four five six", 1, 6), (1, "two", 2, 1)]
+    found = {r.id: r.tech_skills for r in skills.extract_skills(df, "id", "text", vocab).collect()}
+    assert found[2] == [] and found[3] == [] and "two three four five six" in found[1][0].lower()
+
+
+def test_series_of_order_five_becomes_stationary(spark):
+    values = np.random.default_rng(0).normal(size=160)
+    for _ in range(5):
+        values = np.cumsum(values)
+    df = spark.createDataFrame([("p", i, float(v)) for i, v in enumerate(values)], "panel string, t int, x double")
+    _, order, tested = series.make_stationary(df, ["panel"], "t", ["x"], lags=0)
+    assert order >= 5 and all(r.stationary for r in tested.collect())
+    short = spark.createDataFrame([("p", i, float(i**3)) for i in range(7)], "panel string, t int, x double")
+    assert [r.stationary for r in series.make_stationary(short, ["panel"], "t", ["x"], lags=0)[2].collect()] != []
+
+
+def test_all_missing_skills_are_named(spark):
+    df = spark.createDataFrame([(["a"], list("hgfedcba"))], "mine array<string>, wanted array<string>")
+    assert df.select(scoring.missing(F.col("mine"), F.col("wanted")).alias("m")).first().m == list("bcdefgh")
 
 
 def test_candidates_respect_slack_and_place(spark):

@@ -1,7 +1,6 @@
-"""Registered queries against their SQL checks. WORKTIDE_FULL=1 compares all of them."""
+"""All registered queries against their SQL checks."""
 
 import math
-import os
 
 import duckdb
 import pytest
@@ -10,12 +9,7 @@ from conftest import SF
 from worktide.catalog import all_oracles, all_queries
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUICK = (
-    "x01_normalize_common", "x14_requirement_section", "x20_noise", "j04_longest_match_by_substring_join", "w01_batch_dedupe_keeping_null_links",
-    "w10_running_total_by_group", "s12_merge_update_some", "a04_cumulative_cover", "a14_profile", "m06_d09_u02_fact_macro", "m13_granger_f_test",
-    "k02_greedy_leaders", "n07_item_based_filtering", "j09_f11_w17_candidates", "s24_flattened_payloads", "d15_skill_demand_by_category",
-)
-NAMES = sorted(all_oracles()) if os.environ.get("WORKTIDE_FULL") else QUICK
+NAMES = sorted(all_oracles())
 
 
 def plain(value):

@@ -114,9 +114,12 @@ def test_silver_to_gold_increment(spark, tmp_path):
     batch = gold.pending_batch(enriched, 10)
     for version in ("v1", "v1", "v2"):
         gold.gold_increment(batch, mapping, tables, version)
-        assert tables.read("fact_jobs").count() == 1 and tables.read("fact_job_skills").count() == 1
-        assert tables.read("dim_skill").count() == 1 and tables.read("dim_company").count() == 1
-    fact = tables.read("fact_jobs").first()
+        # postings without a link are keyed by what describes them
+        assert tables.read("fact_jobs").count() == 2 and tables.read("fact_job_skills").count() == 2
+        assert tables.read("dim_skill").count() == 1
+    assert gold.pending_batch(gold.flag_processed(enriched, batch), 10).count() == 0
+    linked = enriched.filter("link IS NOT NULL").select(gold.posting_key().alias("job_key"))
+    fact = tables.read("fact_jobs").join(linked, "job_key").first()
     assert fact.processed_time_key == 20251001 and fact.company_key is not None and fact.location_key is not None
 
 
@@ -143,6 +146,8 @@ def test_longest_match_compat_partition(spark):
     words = spark.createDataFrame([("ha noi", "Hà Nội"), ("noi", "Nội")], "w string, v string")
     both = joins.match_longest(posts, ["id"], "place", words, "w", "v", "Khác", "p")
     assert rows(both.select("id", "p"), "id") == [(1, "Hà Nội"), (2, "Hà Nội")]
+    odd = spark.createDataFrame([(None, "x ha noi"), (None, "noi"), (1, "noi"), (1, "x ha noi"), (2, None)], "id int, place string")
+    assert sorted(r.p for r in joins.match_longest(odd, ["id"], "place", words, "w", "v", "Khác", "p").collect()) == ["Hà Nội", "Hà Nội", "Khác", "Nội", "Nội"]
     one = joins.match_longest(posts, ["id"], "place", words, "w", "v", "Khác", "p", compat_partition=["title", "place"])
     assert one.count() == 1
 

@@ -190,7 +190,26 @@ def _(t):
 @query("n03_approximate_vector_top_k")
 def _(t):
     left = t.embeddings.select("vec_id", "embedding")
-    return matching.approximate_top_k(left, "vec_id", left.withColumnRenamed("vec_id", "neighbour"), "neighbour", "embedding", 3, radius=0.9)
+    return matching.approximate_top_k(left, "vec_id", left.withColumnRenamed("vec_id", "neighbour"), "neighbour", "embedding", 3)
+
+
+@query("n03_approximate_recall", "SELECT vec_id, CAST(3 AS BIGINT) AS found, CAST(0 AS BIGINT) AS itself, true AS enough FROM embeddings")
+def _(t):
+    """Per vector how many neighbours were found, and whether over all of them nine of ten are exact."""
+    left = t.embeddings.select("vec_id", "embedding")
+    right = left.withColumnRenamed("vec_id", "neighbour")
+    near = matching.approximate_top_k(left, "vec_id", right, "neighbour", "embedding", 3)
+
+    def other(lp, rp):
+        return lp["vec_id"].to_numpy()[:, None] != rp["neighbour"].to_numpy()[None, :]
+
+    exact = matching.vector_top_k(left, "vec_id", right, "neighbour", "embedding", 3, other).select("vec_id", "neighbour", F.lit(True).alias("_hit"))
+    joined = near.join(exact, ["vec_id", "neighbour"], "left")
+    each = joined.groupBy("vec_id").agg(
+        F.count(F.lit(1)).alias("found"), F.count(F.when(F.col("vec_id") == F.col("neighbour"), 1)).alias("itself"), F.count("_hit").alias("_hits")
+    )
+    enough = each.agg((F.sum("_hits") >= 0.9 * F.sum("found")).alias("enough")).scalar()
+    return each.select("vec_id", "found", "itself", enough.alias("enough"))
 
 
 _CVS = """cvs AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'explicit' WHEN c_custkey % 3 = 1 THEN 'inferred' ELSE 'default' END AS source, CASE WHEN c_custkey % 3 < 2 THEN c_custkey % 12 END AS years,

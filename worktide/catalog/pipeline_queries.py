@@ -44,10 +44,32 @@ def _(t):
     )
 
 
-def observed_alias(t):
+#: What the requirement texts are searched for; ``sql`` has no vowel, so the rules for skill names drop it again.
+VOCABULARY = (("python", "tech"), ("sql", "tech"), ("dự án nhóm", "soft"))
+
+
+def enriched(t):
+    """Standardised postings whose skill lists come from their requirement texts as well."""
+    return silver.enrich_skills(standardized(t), t.spark.createDataFrame(list(VOCABULARY), "term string, skill_type string"))
+
+
+@query(
+    "j10_k01_enriched_postings",
+    f"""WITH {SILVER_SQL} SELECT platform, title_clean, 'Python' AS tech, 'dự án nhóm' AS soft, 'Kỹ năng ' || (p % 40) || '|tool_' || (s % 30) || '|Python|dự án nhóm' AS every,
+      CAST(count(*) AS BIGINT) AS n FROM silver GROUP BY ALL""",
+)
+def _(t):
+    lists = [F.array_join(c, "|").alias(a) for c, a in (("tech_skills", "tech"), ("soft_skills", "soft"), ("skills_all", "every"))]
+    return enriched(t).select("platform", "title_clean", *lists).groupBy("platform", "title_clean", "tech", "soft", "every").agg(F.count(F.lit(1)).alias("n"))
+
+
+def observed_alias(t, extra=()):
     """Alias table over the skills that postings name; part of them are known to the dimension."""
     names = F.array(F.concat(F.lit("Kỹ năng "), F.col("l_partkey") % 40), F.concat(F.lit("tool_"), F.col("l_suppkey") % 30))
     seen = t.lineitem.select(F.explode(names).alias("raw")).select(normalize_skill(F.col("raw")).alias("skill_norm")).distinct()
+    if extra:
+        more = t.spark.createDataFrame([(x,) for x in extra], "raw string").select(normalize_skill(F.col("raw")).alias("skill_norm"))
+        seen = seen.unionByName(more).distinct()
     known = seen.filter(F.col("skill_norm").startswith("ky nang"))
     dim = known.select(F.col("skill_norm").alias("skill_canon_norm"), F.sha2(F.concat(F.lit("dim:"), "skill_norm"), 256).alias("skill_key"))
     return skills.alias_dim(seen, dim)
@@ -69,13 +91,14 @@ def _(t):
     "d15_skill_demand_by_category",
     f"""WITH {SILVER_SQL}, jobs AS (SELECT sha256(coalesce(link, category_name_final || '||' || strftime(expired_date_norm, '%Y-%m-%d') || '||')) AS job_key,
       category_name_final, p, s FROM silver),
-    long AS (SELECT job_key, category_name_final, 'ky nang ' || (p % 40) AS skill_norm FROM jobs UNION SELECT job_key, category_name_final, 'tool ' || (s % 30) FROM jobs),
+    long AS (SELECT job_key, category_name_final, 'ky nang ' || (p % 40) AS skill_norm FROM jobs UNION SELECT job_key, category_name_final, 'tool ' || (s % 30) FROM jobs
+      UNION SELECT job_key, category_name_final, unnest(['python', 'du an nhom']) FROM jobs),
     tot AS (SELECT category_name_final, count(DISTINCT job_key) AS total FROM long GROUP BY 1)
     SELECT category_name_final AS category_name, {_ALIAS} AS skill_key, CAST(count(DISTINCT job_key) AS BIGINT) AS job_count,
       round(count(DISTINCT job_key) / any_value(total), 9) AS coverage FROM long JOIN tot USING (category_name_final) GROUP BY 1, 2""",
 )
 def _(t):
-    demand = gold.skill_by_category(standardized(t), observed_alias(t))
+    demand = gold.skill_by_category(enriched(t), observed_alias(t, [term for term, _ in VOCABULARY]))
     category = F.broadcast(dims.literal_dim(t.spark, "category").select("category_key", "category_name"))
     named = demand.join(category, "category_key")
     return named.select("category_name", "skill_key", "job_count", F.round("coverage", 9).alias("coverage"))
@@ -367,25 +390,28 @@ def _(t):
 
 @query(
     "r03_gold_increments",
-    f"""WITH {SILVER_SQL}, latest AS (SELECT * FROM silver WHERE link IS NOT NULL)
-    SELECT 'dim_job' AS part, CAST(count(DISTINCT link) AS BIGINT) AS n FROM latest UNION ALL SELECT 'fact_jobs', count(DISTINCT link) FROM latest
-    UNION ALL SELECT 'known_company', 1""",
+    f"""WITH {SILVER_SQL}, keyed AS (SELECT sha256(coalesce(link, platform || '||' || title_clean || '||' || company_clean || '||' || location_clean || '||' || category_name_final || '||' || strftime(expired_date_norm, '%Y-%m-%d'))) AS job_key,
+      *, sha256(coalesce(link, '') || '||' || title_clean || '||' || strftime(expired_date_norm, '%Y-%m-%d') || '||{RUN_DAY}') AS version FROM silver)
+    SELECT job_key, title_clean, sha256(company_clean) AS company_key, sha256(location_clean) AS location_key, true AS in_dim, CAST(2 AS BIGINT) AS n_skills, true AS flagged
+    FROM (SELECT *, row_number() OVER (PARTITION BY job_key ORDER BY version DESC) AS rn FROM keyed) WHERE rn = 1""",
 )
 def _(t):
     root = f"{checkpoint_dir(t.spark)}/gold-{uuid.uuid4().hex}"
-    rows = standardized(t).withColumns({"tech_skills": F.slice("skills_all", 1, 1), "soft_skills": F.slice("skills_all", 2, 1)})
-    rows.write.parquet(f"{root}/silver")
+    enriched(t).write.parquet(f"{root}/silver")
     postings = t.spark.read.parquet(f"{root}/silver")
     tables = gold.GoldTables(t.spark, root)
     mapping = t.spark.createDataFrame([], "raw_skill string, canonical_skill string, skill_type string")
-    half = F.pmod(F.xxhash64("link"), F.lit(2))
-    for i in (0, 1, 1):
-        gold.gold_increment(postings.filter(half == i), mapping, tables, f"batch-{i:06d}")
-    known = tables.read("fact_jobs").select("company_key").distinct().join(tables.read("dim_company"), "company_key", "left_anti")
-    counted = [
-        tables.read(name).agg(F.count_distinct("job_key").alias("n")).select(F.lit(name).alias("part"), "n") for name in ("dim_job", "fact_jobs")
-    ]
-    checked = known.agg((F.count(F.lit(1)) == 0).cast("bigint").alias("n")).select(F.lit("known_company").alias("part"), "n")
-    return counted[0].unionByName(counted[1]).unionByName(checked)
-
-
+    for i in range(2):
+        # the first batch is half of the postings, the second whatever is pending after it; each is bound to its version first
+        size = (postings.select(gold.posting_key()).distinct().count() + 1) // 2
+        gold.pending_batch(postings, size).write.parquet(f"{root}/batch-{i}")
+        batch = t.spark.read.parquet(f"{root}/batch-{i}")
+        for _ in range(2):  # a batch that is delivered again changes nothing
+            gold.gold_increment(batch, mapping, tables, f"batch-{i:06d}")
+        gold.flag_processed(postings, batch).write.parquet(f"{root}/silver-{i}")
+        postings = t.spark.read.parquet(f"{root}/silver-{i}")
+    jobs = tables.read("dim_job").select("job_key", "title_clean", F.lit(True).alias("in_dim"))
+    listed = tables.read("fact_job_skills").groupBy("job_key").agg(F.count(F.lit(1)).alias("n_skills"))
+    flags = postings.groupBy(gold.posting_key().alias("job_key")).agg(F.bool_and("gold_processed").alias("flagged"))
+    facts = tables.read("fact_jobs").select("job_key", "company_key", "location_key")
+    return facts.join(jobs, "job_key").join(listed, "job_key").join(flags, "job_key")

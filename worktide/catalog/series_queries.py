@@ -118,7 +118,7 @@ def _(t):
     f"""WITH {_SCALED}, d AS (SELECT event_type, day, x - lag(x) OVER w AS x FROM z WINDOW w AS (PARTITION BY event_type ORDER BY day)) SELECT event_type, strftime(day, '%Y-%m-%d') AS day, round(x, 9) AS x, 1 AS difference FROM d WHERE x IS NOT NULL""",
 )
 def _(t):
-    rows, order = series.make_stationary(scaled(t), PANEL, TIME, ["x"], lags=0)
+    rows, order, _tested = series.make_stationary(scaled(t), PANEL, TIME, ["x"], lags=0)
     return rows.select("event_type", F.col("day").cast("string").alias("day"), F.round("x", 9).alias("x"), F.lit(order).alias("difference"))
 
 

@@ -241,11 +241,11 @@ def _(t):
 
 @query(
     "x16_protect_terms",
-    """SELECT o_orderkey, 'R&D / ' || o_orderpriority || ' & R&D ( B2B/B2C ) , ' || o_orderstatus AS spaced FROM orders""",
+    """SELECT o_orderkey, 'R&D / ' || o_orderpriority || ' & r&d ( B2B/b2c ) , ' || o_orderstatus AS spaced FROM orders""",
 )
 def _(t):
     raw = F.concat(F.lit("R&D/"), "o_orderpriority", F.lit(" & r&d (B2B/b2c),"), "o_orderstatus")
-    return t.orders.select("o_orderkey", F.replace(text.protect_terms(raw), F.lit("B2B/b2c"), F.lit("B2B/B2C")).alias("spaced"))
+    return t.orders.select("o_orderkey", text.protect_terms(raw).alias("spaced"))
 
 
 _SKILL = r"lower(p_name || '/' || p_brand || '_' || p_type || '%')"
@@ -444,7 +444,7 @@ def _(t):
     base = t.benchmark.select(words.alias("w"))
     pairs = base.select(F.concat_ws(" ", F.get("w", F.lit(0)), F.get("w", F.lit(1))).alias("term"))
     vocab = pairs.unionByName(base.select(F.get("w", F.lit(2)).alias("term"))).distinct()
-    found = skills.find_terms(t.spread("documents", "doc_id"), "doc_id", "text", vocab, longest=2)
+    found = skills.find_terms(t.spread("documents", "doc_id"), "doc_id", "text", vocab)
     return found.groupBy("term").agg(F.countDistinct("doc_id").alias("docs"), F.count(F.lit(1)).alias("hits"))
 
 
@@ -498,17 +498,17 @@ def _(t):
     SELECT c_custkey, coalesce(value, 'Khác') AS place_key FROM places LEFT JOIN (SELECT * FROM hits WHERE rn = 1) USING (c_custkey)""",
 )
 def _(t):
-    return _places(t, 2000)
+    return _places(t)
 
 
-def _places(t, limit):
+def _places(t):
     n = F.col("c_nationkey")
     place = F.when(F.col("c_custkey") % 11 == 0, "nowhere").otherwise(
         F.concat(F.lit("District 1, NATION_"), n, F.lit(" near NATION_"), n % 3)
     )
     customers = t.customer.select("c_custkey", place.alias("place"))
     nations = t.nation.select("n_name", F.col("n_nationkey").cast("string").alias("value"))
-    found = joins.match_longest(customers, ["c_custkey"], "place", nations, "n_name", "value", "Khác", "place_key", limit)
+    found = joins.match_longest(customers, ["c_custkey"], "place", nations, "n_name", "value", "Khác", "place_key")
     return found.select("c_custkey", "place_key")
 
 
@@ -521,8 +521,7 @@ def _places(t, limit):
     SELECT c_custkey, coalesce(value, 'Khác') AS place_key FROM places LEFT JOIN (SELECT * FROM hits WHERE rn = 1) USING (c_custkey)""",
 )
 def _(t):
-    # the way taken for dictionaries too large to inline
-    return _places(t, 5)
+    return _places(t)
 
 
 @query(

@@ -60,5 +60,5 @@ def matched(mine: Column, wanted: Column) -> Column:
     return F.array_sort(F.array_intersect(wanted, mine))
 
 
-def missing(mine: Column, wanted: Column, limit: int = 5) -> Column:
-    return F.slice(F.array_sort(F.array_except(wanted, mine)), 1, limit)
+def missing(mine: Column, wanted: Column) -> Column:
+    return F.array_sort(F.array_except(wanted, mine))

@@ -123,21 +123,21 @@ COMPOUND_TERMS = (
 )
 
 
+SEPARATOR = r"""[/&.,;:()\[\]"'–—]"""
+
+
 def protect_terms(text: Column, terms: Sequence[str] = COMPOUND_TERMS) -> Column:
-    """Space out separators except inside ``terms``; every hit takes the casing of the first one."""
+    """Space out separators except inside ``terms``, which keep their own casing; earlier terms go first.
+
+    A text that holds a term is read as a row of terms, separators and stretches of neither.
+    """
     text = F.coalesce(text, F.lit(""))
-    kept: list[tuple[str, Column]] = []
-    for i, term in enumerate(terms):
-        pattern = r"(?iu)\Q" + term + r"\E"
-        kept.append((f"__TERM{i}__", F.regexp_extract(text, pattern, 0)))
-        text = F.regexp_replace(text, pattern, f"__TERM{i}__")
-    text = F.regexp_replace(text, r"([/&])", " $1 ")
-    text = F.regexp_replace(text, r"[–—]", " – ")
-    text = F.regexp_replace(text, r"([.,;:()\[\]\"'])", " $1 ")
-    text = collapse(text)
-    for marker, original in kept:
-        text = F.replace(text, F.lit(marker), original)
-    return collapse(text)
+    term = "(?iu:" + "|".join(r"\Q" + t + r"\E" for t in terms) + ")"
+    dashed = lambda c: F.regexp_replace(c, "[–—]", "–")
+    read = F.regexp_extract_all(text, F.lit(f"(?s){term}|{SEPARATOR}|(?:(?!{term}|{SEPARATOR}).)+"), F.lit(0))
+    spaced = F.array_join(F.transform(read, lambda x: F.when(x.rlike(f"^{SEPARATOR}$"), F.concat(F.lit(" "), dashed(x), F.lit(" "))).otherwise(x)), "")
+    plain = dashed(F.regexp_replace(text, SEPARATOR, " $0 "))
+    return collapse(F.when(text.rlike(term), spaced).otherwise(plain))
 
 
 def normalize_skill(skill: Column, min_length: int = 2) -> Column:

@@ -68,36 +68,29 @@ def longest_word(text: Column, entries: Sequence[tuple[str, str]], default: str)
 
 def match_longest(
     df: DataFrame, row_key: Sequence[str], text: str, words: DataFrame, word: str, value: str, default: str,
-    out: str, inline_limit: int = 2000, compat_partition: Sequence[str] = (),
+    out: str, compat_partition: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``out``: the value of the longest dictionary word contained in ``text``, else ``default``.
 
     ``row_key`` identifies a posting. ``compat_partition`` keeps one posting per listed columns.
-    A dictionary of at most ``inline_limit`` rows is carried inside the rows' expression; a larger
-    one is joined on the substrings of its word lengths.
+    The dictionary is joined on the substrings of its word lengths, once per distinct text, so the result
+    depends on the text alone: repeated and null row keys are rows like any others. Ties go to the smallest value.
     """
     entries = words.select(F.col(word).alias("word"), F.col(value).alias("value")).distinct()
-    if len(entries.take(inline_limit + 1)) <= inline_limit:
-        # One row holding the whole, size-checked dictionary, longest word first.
-        ranked = F.array_sort(F.collect_list(F.struct((-F.length("word")).alias("size"), "value", "word")))
-        carried = df.withColumn("_words", entries.agg(ranked).scalar())
-        hits = F.filter("_words", lambda w: F.col(text).contains(w["word"]))
-        matched = carried.withColumn(out, F.coalesce(F.get(hits, F.lit(0))["value"], F.lit(default))).drop("_words")
-    else:
-        def pieces_of(size: int) -> Column:
-            last = F.greatest(F.length(text) - size + 1, F.lit(1))
-            return F.transform(F.sequence(F.lit(1), last), lambda at: F.substring(F.col(text), at, F.lit(size)))
-
-        sizes = [r[0] for r in entries.select(F.length("word")).distinct().collect()]
-        starts = [pieces_of(size) for size in sizes]
-        pieces = df.select(*row_key, F.explode(F.array_distinct(F.concat(*starts))).alias("word"))
-        best = (
-            pieces.join(entries, "word")
-            .groupBy(*row_key)
-            .agg(F.min(F.struct((-F.length("word")).alias("size"), "value")).alias("_best"))
-        )
-        joined = df.join(best, list(row_key), "left")
-        matched = joined.withColumn(out, F.coalesce(F.col("_best.value"), F.lit(default))).drop("_best")
+    sizes = entries.agg(F.collect_set(F.length("word"))).scalar()
+    texts = df.filter(F.col(text).isNotNull()).select(F.col(text).alias("_text")).distinct().withColumn("_sizes", sizes)
+    windows = F.transform(
+        F.filter("_sizes", lambda n: (n > 0) & (n <= F.length("_text"))),
+        lambda n: F.transform(F.sequence(F.lit(1), F.length("_text") - n + 1), lambda at: F.substring(F.col("_text"), at, n)),
+    )
+    pieces = texts.select("_text", F.explode(F.array_distinct(F.flatten(windows))).alias("word"))
+    best = (
+        pieces.join(entries, "word")
+        .groupBy("_text")
+        .agg(F.min(F.struct((-F.length("word")).alias("size"), "value")).alias("_best"))
+    )
+    joined = df.join(best, F.col(text) == F.col("_text"), "left")
+    matched = joined.withColumn(out, F.coalesce(F.col("_best.value"), F.lit(default))).drop("_best", "_text")
     if not compat_partition:
         return matched
     return top_k(matched, compat_partition, [F.col(k).asc_nulls_last() for k in row_key], 1)

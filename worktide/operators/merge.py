@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .windows import latest_per
+
 
 def _all_set(keys: Sequence[str]) -> Column:
     present = F.lit(True)
@@ -62,7 +64,7 @@ def merge_upsert(
 
 def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target plus the source rows whose key it lacks, once per key."""
-    fresh = only_new(source, target, keys).dropDuplicates(list(keys))
+    fresh = latest_per(only_new(source, target, keys), keys, [F.asc_nulls_last(c) for c in source.columns])
     return target.unionByName(fresh.select(*target.columns))
 
 

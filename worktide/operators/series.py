@@ -125,14 +125,24 @@ def adf(df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str],
 
 
 def make_stationary(
-    df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], lags: int = 1, max_order: int = 4
-) -> tuple[DataFrame, int]:
-    """Difference all series until each one passes the unit-root test (at least once)."""
-    for order in range(1, max_order + 1):
+    df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], lags: int = 1
+) -> tuple[DataFrame, int, DataFrame]:
+    """Difference all series (at least once) until each one passes the unit-root test: rows, order, test results.
+
+    It goes on as long as a series that fails has rows enough for another difference and its test; the
+    results say which series of which panel passed.
+    """
+    order = 0
+    while True:
+        order += 1
         changed = difference(df, panel, time, columns, order)
-        if adf(changed, panel, time, columns, lags).filter(~F.col("stationary")).isEmpty():
-            break
-    return changed, order
+        tested = adf(changed, panel, time, columns, lags)
+        failed = tested.filter(~F.col("stationary")).select(*panel).distinct()
+        # A test with a constant, a level and ``lags`` changes needs one row more than it has coefficients.
+        rows = changed.groupBy(*panel).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 2 * lags + 4)
+        open_panels = failed.join(rows, list(panel), "left_semi") if panel else failed.crossJoin(rows.limit(1))
+        if open_panels.isEmpty():
+            return changed, order, tested
 
 
 def _lagged(columns: Sequence[str], p: int) -> list[str]:

@@ -25,20 +25,22 @@ def stack_arrays(df: DataFrame, keys: Sequence[str], columns: dict[str, str]) ->
     return rows.filter(F.trim("raw_skill") != "")
 
 
-def find_terms(df: DataFrame, key: str, text: str, vocab: DataFrame, term: str = "term", longest: int = 4) -> DataFrame:
+def find_terms(df: DataFrame, key: str, text: str, vocab: DataFrame, term: str = "term") -> DataFrame:
     """(key, term, pos, size): vocabulary terms found on word boundaries.
 
     Texts become word n-grams that meet the vocabulary in an equi-join, so cost grows with the text
-    and not with text x vocabulary. Terms of more than ``longest`` words need a larger value.
+    and not with text x vocabulary. Only the word counts that occur in the vocabulary are formed.
     """
     clean = F.lower(F.regexp_replace(F.col(text), r"[^\p{L}\p{M}\p{Nd}\p{Pc}+#.]+", " "))
     words = F.filter(F.split(F.regexp_replace(clean, r"\.(?= |$)", ""), " "), lambda w: w != "")
-    tokens = df.select(key, words.alias("_w"))
+    known = vocab.select(term, F.lower(F.trim(term)).alias("_gram")).distinct()
+    sizes = known.agg(F.collect_set(F.size(F.split("_gram", " ")))).scalar()
+    tokens = df.select(key, words.alias("_w"), sizes.alias("_sizes"))
     grams = F.flatten(
         F.transform(
             F.sequence(F.lit(0), F.size("_w") - 1),
             lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(longest), F.size("_w") - i)),
+                F.filter("_sizes", lambda n: n <= F.size("_w") - i),
                 lambda n: F.struct(
                     i.alias("pos"), n.alias("size"), F.array_join(F.slice(F.col("_w"), i + 1, n), " ").alias("_gram")
                 ),
@@ -47,20 +49,22 @@ def find_terms(df: DataFrame, key: str, text: str, vocab: DataFrame, term: str =
     )
     # The outer form keeps Spark from building the n-grams once more in an inferred filter.
     exploded = tokens.select(key, F.inline_outer(F.when(F.size("_w") > 0, grams)))
-    known = vocab.select(term, F.lower(F.trim(term)).alias("_gram")).distinct()
     return exploded.join(known, "_gram").select(key, term, "pos", "size")
 
 
 SEPARATORS = (",", ";", "/", "-", "–")
 
 
-def _vocabulary_hits(df: DataFrame, key: str, text: str, vocab: DataFrame, longest: int) -> DataFrame:
+def _vocabulary_hits(df: DataFrame, key: str, text: str, vocab: DataFrame) -> DataFrame:
     """Spans (key, skill_type, span, pos): vocabulary hits, merged where only separators lie between.
 
     Positions count words and skip separators, so hits touch when one starts where the words of
     the one before end.
     """
-    prepared = df.select(key, F.split(protect_terms(F.col(text)), " ").alias("_t"))
+    known = vocab.select("skill_type", F.lower(protect_terms(F.col("term"))).alias("_gram")).distinct()
+    in_term = F.filter(F.split("_gram", " "), lambda w: ~w.isin(*SEPARATORS))
+    sizes = known.agg(F.collect_set(F.size(in_term))).scalar()
+    prepared = df.select(key, F.split(protect_terms(F.col(text)), " ").alias("_t"), sizes.alias("_sizes"))
     words = F.filter(
         F.transform("_t", lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda e: ~e["t"].isin(*SEPARATORS)
     )
@@ -76,10 +80,9 @@ def _vocabulary_hits(df: DataFrame, key: str, text: str, vocab: DataFrame, longe
     grams = F.flatten(
         F.transform(
             F.sequence(F.lit(0), F.size("_w") - 1),
-            lambda j: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("_w") - j)), lambda n: gram(j, n)),
+            lambda j: F.transform(F.filter("_sizes", lambda n: (n > 0) & (n <= F.size("_w") - j)), lambda n: gram(j, n)),
         )
     )
-    known = vocab.select("skill_type", F.lower(protect_terms(F.col("term"))).alias("_gram")).distinct()
     hits = placed.select(key, F.inline_outer(F.when(F.size("_w") > 0, grams))).join(known, "_gram")
     by_text = Window.partitionBy(key, "skill_type").orderBy("start", F.desc("stop"))
     reach = F.max("end").over(by_text.rowsBetween(Window.unboundedPreceding, -1))
@@ -95,7 +98,7 @@ def _vocabulary_hits(df: DataFrame, key: str, text: str, vocab: DataFrame, longe
 
 
 def extract_skills(
-    df: DataFrame, key: str, text: str, vocab: DataFrame | None, model_fn: Callable | None = None, longest: int = 4
+    df: DataFrame, key: str, text: str, vocab: DataFrame | None, model_fn: Callable | None = None
 ) -> DataFrame:
     """(key, tech_skills, soft_skills) from a typed vocabulary (term, skill_type).
 
@@ -106,7 +109,7 @@ def extract_skills(
         kind = df.schema[key].dataType.simpleString()
         spans = df.select(key, text).mapInPandas(model_fn, f"{key} {kind}, skill_type string, span string, pos int")
     else:
-        spans = _vocabulary_hits(df, key, text, vocab, longest)
+        spans = _vocabulary_hits(df, key, text, vocab)
     pieces = F.posexplode_outer(split_span(F.col("span"))).alias("sub", "name")
     names = spans.select(key, "skill_type", "pos", pieces).filter(F.col("name").isNotNull())
     firsts = names.groupBy(key, "skill_type", F.lower("name").alias("_low")).agg(
@@ -126,6 +129,7 @@ def _near_min(tau: float, vector: str, rank: str):
 
     def score(lp: pd.DataFrame, rp: pd.DataFrame) -> np.ndarray:
         near = np.round(dense(lp, vector, unit=True) @ dense(rp, vector, unit=True).T, 9) >= tau
+        near |= lp["rank"].to_numpy()[:, None] == rp[rank].to_numpy()[None, :]  # whatever its length, an item is near itself
         return np.where(near, -rp[rank].to_numpy(dtype=np.float64)[None, :], -np.inf)
 
     return score
@@ -146,21 +150,27 @@ def leaders(vectors: DataFrame, item: str, vector: str, rank: str, tau: float =
     Going down the ranking, an item without an earlier leader within cosine ``tau`` becomes one.
     Each round makes every undecided item a leader that has no undecided neighbour ranked before it,
     and settles the neighbours of new leaders; finally members join their first leader. Rounds only
-    exchange one best neighbour per item, never neighbour lists.
+    exchange one best neighbour per item, never neighbour lists. Zero and null vectors are near nothing
+    but themselves and lead alone. Items of one rank are one item: the smallest of them stands for it and all join its leader.
     """
-    items = cut_lineage(vectors.select(F.col(rank).cast("bigint").alias("rank"), F.col(item).alias("item"), F.col(vector).alias("vector")))
+    every = cut_lineage(vectors.select(F.col(rank).cast("bigint").alias("rank"), F.col(item).alias("item"), F.col(vector).alias("vector")))
+    alone = every.filter("vector IS NULL OR rank IS NULL").select("item", F.col("item").alias("leader"))
+    items = cut_lineage(top_k(every.filter("vector IS NOT NULL AND rank IS NOT NULL"), ["rank"], [F.asc("item"), F.asc("vector")], 1).select("rank", "item", "vector"))
     open_items, found = items, None
     while not open_items.isEmpty():
         first = _lowest_near(open_items, open_items, tau).filter(F.col("rank") == F.col("near")).select("rank")
         new = cut_lineage(open_items.join(first, "rank"))
         found = new if found is None else found.unionByName(new)
+        if new.isEmpty():
+            raise RuntimeError("a round of leaders settled nothing")
         settled = _lowest_near(open_items, new, tau).select("rank")
         open_items = cut_lineage(open_items.join(settled, "rank", "left_anti"))
     if found is None:
-        return items.select("item", F.col("item").alias("leader"))
+        return alone
     joined = _lowest_near(items, found, tau)
     names = items.select(F.col("rank").alias("near"), F.col("item").alias("leader"))
-    return items.select("rank", "item").join(joined, "rank").join(names, "near").select("item", "leader")
+    members = every.filter("vector IS NOT NULL").select("rank", "item")
+    return members.join(joined, "rank").join(names, "near").select("item", "leader").unionByName(alone)
 
 
 def components(vectors: DataFrame, item: str, vector: str, rank: str, tau: float) -> DataFrame:
