@@ -88,13 +88,14 @@ def learn(labelled: DataFrame, key: str, text: str, lang: str, documents: int =
 def identify(df: DataFrame, dictionaries: Dictionaries, text: str = "text", min_margin: float = 0.0, min_bytes: int = 200, prefix: str = "lang") -> DataFrame:
     """All columns and {prefix}_pred, {prefix}_score (0 to 1), {prefix}_margin and {prefix}_rejected.
 
-    The margin is what the second smallest size lies above the smallest, as a share of it. A text that is null or
+    Columns of those names are replaced. The margin is what the second smallest size lies above the smallest, as a share of it. A text that is null or
     has no letter, or any text if nothing was learned, is ``und`` with score 0 and rejected; others are
     rejected if their margin is below ``min_margin`` and their words have ``min_bytes`` or more. Full ties go to the
     alphabetically first language.
     """
     shared = df.sparkSession.sparkContext.broadcast(dictionaries)
     names = [f"{prefix}_{x}" for x in ("pred", "score", "margin", "rejected")]
+    df = df.drop(*names)
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

@@ -192,7 +192,7 @@ def backward(grad: np.ndarray, saved, mask: np.ndarray, w: dict[str, np.ndarray]
 
 def _statistics(docs: list[set[str]], labels: np.ndarray, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Log-ratios of words and of n-gram buckets over the given documents."""
-    share = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3))
+    share = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3)) if len(labels) else 0.5
     words, grams = np.zeros((2, len(vocabulary) + 1)), np.zeros((2, BUCKETS))
     every = sorted(set().union(*docs)) if docs else []
     if every:
@@ -359,8 +359,10 @@ def learn(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
 
 
 def score(df: DataFrame, network: Network, text: str = "text", out: str = "toxicity") -> DataFrame:
-    """All columns and ``out``, 0 to 1: the score of the worst of all windows of the whole text. Null counts as empty."""
+    """All columns and ``out``, 0 to 1: the score of the worst of all windows of the whole text. Null counts as empty;
+    a column named ``out`` is replaced."""
     shared = df.sparkSession.sparkContext.broadcast(network)
+    df = df.drop(out)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
