@@ -345,6 +345,24 @@ def _(t):
     return recs.select("user", F.col("rec.item").alias("item"), (F.col("position") + 1).alias("position"))
 
 
+@query("n08_error_below_the_mean_rating", f"WITH {_RATINGS} SELECT CAST(count(*) AS BIGINT) AS n, true AS better FROM ratings")
+def _(t):
+    """The factors err less than a constant: the root mean square error against the spread of the ratings."""
+    known = ratings(t)
+    model = collaborative.als(known, rank=8, iterations=5, reg=0.1)
+    error = collaborative.rating_error(model.transform(known), "rating", "prediction")
+    spread = known.agg(F.stddev_pop("rating").alias("v")).scalar()
+    return error.select("n", (F.col("rmse") < spread).alias("better"))
+
+
+@query("n09_lists_are_whole", f"WITH {_RATINGS}, n AS (SELECT least(10, count(DISTINCT i)) AS most FROM ratings) SELECT u AS \"user\", CAST(any_value(most) AS BIGINT) AS items, CAST(any_value(most) AS BIGINT) AS places FROM ratings, n GROUP BY 1")
+def _(t):
+    known = ratings(t).withColumn("rating", F.lit(1.0))
+    model = collaborative.als(known, implicit=True, rank=8, iterations=5, reg=0.1)
+    recs = model.recommendForAllUsers(10).select("user", F.posexplode("recommendations").alias("position", "rec"))
+    return recs.groupBy("user").agg(F.count_distinct("rec.item").alias("items"), F.count_distinct("position").alias("places"))
+
+
 @query(
     "n10_rating_error",
     f"WITH {_RATINGS} SELECT CAST(count(*) AS BIGINT) AS n, round(sqrt(avg((r - 3) * (r - 3))), 9) AS rmse, round(avg(abs(r - 3)), 9) AS mae FROM ratings",

@@ -146,6 +146,20 @@ def _(t):
     return test
 
 
+@query("w16_split_holds_its_rules", "SELECT true AS disjoint, true AS items_seen, true AS sizes_kept, CAST(count(*) AS BIGINT) AS users FROM (SELECT DISTINCT o_custkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey)")
+def _(t):
+    pairs = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "l_partkey").distinct()
+    train, test = windows.user_split(pairs, "o_custkey", "l_partkey")
+    both = train.join(test, ["o_custkey", "l_partkey"], "left_semi").agg((F.count(F.lit(1)) == 0).alias("v")).scalar()
+    unseen = test.join(train.select("l_partkey").distinct(), "l_partkey", "left_anti").agg((F.count(F.lit(1)) == 0).alias("v")).scalar()
+    sides = train.select("o_custkey", F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(test.select("o_custkey", F.lit(0).alias("a"), F.lit(1).alias("b")))
+    every = pairs.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    sized = sides.groupBy("o_custkey").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).join(every, "o_custkey")
+    held = F.when(F.col("n") < 2, 0).otherwise(F.ceil(F.round(F.col("n") * 0.2, 9)))
+    kept = F.bool_and((F.col("a") == F.col("n") - held) & (F.col("b") <= held))
+    return sized.agg(both.alias("disjoint"), unseen.alias("items_seen"), kept.alias("sizes_kept"), F.count(F.lit(1)).alias("users"))
+
+
 # -- T and U: limits, samples and sets ----------------------------------------------------------------
 
 
@@ -172,6 +186,15 @@ def _(t):
     return windows.stable_sample(t.documents.select("doc_id", "lang"), "doc_id", 50)
 
 
+@query("t03_sample_is_stable", "SELECT CAST(50 AS BIGINT) AS n, CAST(50 AS BIGINT) AS from_table, CAST(50 AS BIGINT) AS drawn_again")
+def _(t):
+    rows = t.documents.select("doc_id", "lang")
+    first = windows.stable_sample(rows, "doc_id", 50)
+    again = windows.stable_sample(rows.repartition(7, "lang"), "doc_id", 50)
+    count = lambda df: df.agg(F.count(F.lit(1)).alias("v")).scalar()
+    return first.agg(F.count_distinct("doc_id").alias("n")).select("n", count(first.join(rows, ["doc_id", "lang"])).alias("from_table"), count(first.join(again, "doc_id")).alias("drawn_again"))
+
+
 @query("t04_d04_sorted_platforms", "SELECT sha256(p_brand) AS platform_key, p_brand AS platform FROM (SELECT DISTINCT p_brand FROM part)")
 def _(t):
     return dims.dim_from_values(t.part, "p_brand", "platform", "platform_key").orderBy("platform")
