@@ -415,3 +415,43 @@ def _(t):
     flags = postings.groupBy(gold.posting_key().alias("job_key")).agg(F.bool_and("gold_processed").alias("flagged"))
     facts = tables.read("fact_jobs").select("job_key", "company_key", "location_key")
     return facts.join(jobs, "job_key").join(listed, "job_key").join(flags, "job_key")
+
+
+# -- S: files written once to the shared folder and read back ------------------------------------------
+
+
+@query(
+    "s01_s03_loaded_batch",
+    """SELECT platform, event_type AS title, level, CAST(count(*) AS BIGINT) AS n, CAST(sum(event_id) AS BIGINT) AS ids
+    FROM (SELECT 'p' || (event_id % 2) AS platform, CASE WHEN event_id % 2 = 1 THEN 'u' || user_id % 5 ELSE '' END AS level, * FROM events) GROUP BY ALL
+    UNION ALL SELECT 'rejected', 'empty', '', 1, 0""",
+)
+def _(t):
+    """Files of two shapes and one without rows: the readable ones are loaded together, the other is named with its reason."""
+    root = f"{checkpoint_dir(t.spark)}/batch-{uuid.uuid4().hex}"
+    title, link, level = F.col("event_type").alias("title"), F.col("event_id").cast("string").alias("link"), F.concat(F.lit("u"), F.col("user_id") % 5).alias("level")
+    for i, columns in enumerate(([link, title], [title, level, link])):
+        t.events.filter(F.col("event_id") % 2 == i).select(*columns).write.parquet(f"{root}/{i}")
+    t.events.filter("event_id < 0").select(link).write.parquet(f"{root}/none")
+    good, bad = files.quarantine(t.spark, [(f"{root}/0", "p0"), (f"{root}/1", "p1"), (f"{root}/none", "p0")])
+    loaded = files.load_batch(t.spark, good).groupBy("platform", "title", F.coalesce("level", F.lit("")).alias("level")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("link").cast("bigint")).alias("ids")
+    )
+    rejects = t.spark.createDataFrame([("rejected", reason, "", 1, 0) for _, _, reason in bad], "platform string, title string, level string, n bigint, ids bigint")
+    return loaded.unionByName(rejects)
+
+
+@query(
+    "s07_indicator_json",
+    """SELECT 'Sex: ' || l_linenumber AS sex, CAST(year(l_shipdate) AS INT) AS year, CAST(sum(l_quantity) AS DOUBLE) AS value FROM lineitem GROUP BY 1, 2""",
+)
+def _(t):
+    """Indicator records as JSON arrays, one file per year, read back through their dotted labels."""
+    root = f"{checkpoint_dir(t.spark)}/json-{uuid.uuid4().hex}"
+    sums = t.lineitem.groupBy(F.concat(F.lit("Sex: "), "l_linenumber").alias("sex.label"), F.year("l_shipdate").cast("string").alias("time")).agg(
+        F.sum("l_quantity").cast("double").alias("obs_value")
+    )
+    records = F.struct(F.col("`sex.label`"), F.col("time"), F.col("obs_value"))
+    sums.groupBy(F.col("time").alias("year")).agg(F.to_json(F.collect_list(records)).alias("value")).write.partitionBy("year").text(f"{root}/in")
+    found = files.read_indicator_json(t.spark, f"{root}/in")
+    return found.select(F.col("`sex.label`").alias("sex"), F.col("time").cast("int").alias("year"), F.col("obs_value").alias("value"))
