@@ -21,7 +21,8 @@ HEADLINES = (
     "w05_w06_latest_event_per_user", "w10_running_total", "s12_merge_update_all", "j01_j02_j06_star_lookup",
     "j11_a10_f10_export_frame", "a02_skill_coverage", "a03_word_frequency", "x15_clean_requirement", "x30_find_terms",
     "k01_vocabulary_skill_extraction", "k02_greedy_leaders", "n01_tfidf_cosine_top_k", "n05_x33_x34_scored_interactions",
-    "n06_user_based_filtering", "m06_d09_u02_fact_macro", "m11_vector_autoregression",
+    "n06_user_based_filtering", "m06_d09_u02_fact_macro", "m11_vector_autoregression", "r03_gold_increments",
+    "r04_latest_state_over_batches", "n02_hybrid_rank", "n07_item_based_filtering", "k04_components", "a17_drop_rare_singletons",
 )
 
 
