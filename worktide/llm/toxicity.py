@@ -342,7 +342,7 @@ def train(texts: list[str], labels: list[int], prevalence: float | None = None,
     return network
 
 
-def learn(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = 1200, longest: int = 8192) -> Network:
+def learn(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = 2000, longest: int = 8192) -> Network:
     """Train on about ``per_class`` whole texts of each label, chosen by hash, of at most ``longest`` characters.
 
     These two bounds make up the sample. Null labels and texts are not used; a document with several labels has the
