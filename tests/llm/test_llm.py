@@ -247,6 +247,23 @@ def test_narrow_margins_are_rejected(spark):
     assert got[1].lang_pred == "a" and not got[1].lang_rejected and got[2].lang_rejected
 
 
+def long_texts(docs, sizes):
+    """(language, size): distinct texts of one language joined, and repeated where they are not enough."""
+    out = {}
+    for lang in ("de", "en"):
+        texts = sorted({r.text for r in docs.where(F.col("lang") == lang).select("text").collect() if r.text})
+        random.Random(1).shuffle(texts)
+        every = " ".join(texts)
+        out |= {(lang, n): (every * (n // len(every) + 1))[:n] for n in sizes}
+    return out
+
+
+def test_blocks_hold_the_whole_text():
+    for data in (b"", b"a" * 100_001, b" ab" * 40_000, b" " + b"x" * 70_000 + b" y " * 9):
+        parts = list(language.blocks(data))
+        assert b"".join(parts) == data and max(map(len, parts)) <= language.BLOCK_BYTES
+
+
 # -- 6: neighbours -------------------------------------------------------------------------------------
 
 
@@ -418,6 +435,19 @@ def test_query_equals_sql(spark, name):
     assert of(got, *columns) == sorted((tuple(None if x is None or x != x else x for x in r) for r in frame.itertuples(index=False, name=None)), key=repr)
 
 
+def test_pipeline_keeps_very_long_documents(spark):
+    """Clean documents of 5 to 20 MB pass the language stage; texts without letters do not."""
+    import corpus_pipeline
+
+    folder = SF.replace("0.001", "0.1")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = long_texts(docs, (5_000_000, 20_000_000))
+    added = [(-1 - i, t, lang, None, n) for i, ((lang, n), t) in enumerate(texts.items())] + [(-9, "12 34 !!" * 100, "en", None, 0)]
+    docs = docs.unionByName(spark.createDataFrame(added, docs.schema).repartition(5))
+    kept = corpus_pipeline.known_language(spark, docs, folder).where("doc_id < 0").select("doc_id").collect()
+    assert {r.doc_id for r in kept} == {-1 - i for i in range(len(texts))}
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 

@@ -1,8 +1,9 @@
 """Language identification by compression: the language whose dictionary makes a text smallest.
 
-Each language has a zstandard raw-content dictionary of sample texts. A text is compressed once with each,
-whole, as its words in lower case; the smallest result names the language, and a narrow margin to the second
-one is a rejection. Short texts take a level that also matches three bytes, as they have few longer matches.
+Each language has a zstandard raw-content dictionary of sample texts. A text is compressed once with each, as
+its words in lower case; the smallest result names the language, and a narrow margin to the second one is a
+rejection. A long text is compressed in blocks, each with the whole dictionary, and their sizes are added, so that
+every part of it is judged alike. Short texts take a level that also matches three bytes, as they have few longer matches.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from .common import hash_share, slices
 UNKNOWN = "und"
 LEVEL, SHORT_LEVEL = 3, 19
 SHORT_BYTES = 512
+BLOCK_BYTES = 1 << 15
 NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -31,6 +33,18 @@ def words_of(text: str) -> bytes:
     return f" {words} ".encode("utf-8", "surrogatepass") if words else b""
 
 
+def blocks(data: bytes, most: int = BLOCK_BYTES) -> Iterator[bytes]:
+    """``data`` in nearly equal pieces of at most ``most`` bytes, cut before a space if a piece has one in its second half."""
+    at, left = 0, -(-len(data) // most)
+    while len(data) - at > most:
+        end = at + min(most, -(-(len(data) - at) // left))
+        space = data.rfind(b" ", at + (end - at) // 2, end)
+        end = space if space > at else end
+        yield data[at:end]
+        at, left = end, max(left - 1, -(-(len(data) - end) // most))
+    yield data[at:]
+
+
 class Dictionaries:
     """One dictionary per language; a few hundred KB in all."""
 
@@ -57,7 +71,7 @@ class Dictionaries:
         return [set(s.split()) for s in self.samples.values()]
 
     def sizes(self, data: bytes) -> np.ndarray:
-        """The compressed size of ``data`` with each language's dictionary."""
+        """The compressed size of ``data`` with each language's dictionary, summed over its blocks."""
         if self._ready is None:
             self._ready = [[], []]
             for ready, level in zip(self._ready, (LEVEL, SHORT_LEVEL), strict=True):
@@ -65,7 +79,8 @@ class Dictionaries:
                     words = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                     words.precompute_compress(level=level)
                     ready.append(zstandard.ZstdCompressor(level=level, dict_data=words, write_content_size=False, write_dict_id=False))
-        return np.array([len(c.compress(data)) for c in self._ready[len(data) <= SHORT_BYTES]], np.int64)
+        ready = self._ready[len(data) <= SHORT_BYTES]
+        return sum(np.array([len(c.compress(part)) for c in ready], np.int64) for part in blocks(data))
 
 
 def learn(labelled: DataFrame, key: str, text: str, lang: str, documents: int = 96, longest: int = 8192, dictionary_bytes: int = 1 << 17) -> Dictionaries:
@@ -88,7 +103,7 @@ def learn(labelled: DataFrame, key: str, text: str, lang: str, documents: int =
 def identify(df: DataFrame, dictionaries: Dictionaries, text: str = "text", min_margin: float = 0.0, min_bytes: int = 200, prefix: str = "lang") -> DataFrame:
     """All columns and {prefix}_pred, {prefix}_score (0 to 1), {prefix}_margin and {prefix}_rejected.
 
-    Columns of those names are replaced. The margin is what the second smallest size lies above the smallest, as a share of it. A text that is null or
+    Columns of those names are replaced. The margin is what the second smallest size lies above the smallest, as a share of it, over all blocks of the text. A text that is null or
     has no letter, or any text if nothing was learned, is ``und`` with score 0 and rejected; others are
     rejected if their margin is below ``min_margin`` and their words have ``min_bytes`` or more. Full ties go to the
     alphabetically first language.
