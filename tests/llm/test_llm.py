@@ -264,6 +264,18 @@ def test_blocks_hold_the_whole_text():
         assert b"".join(parts) == data and max(map(len, parts)) <= language.BLOCK_BYTES
 
 
+def test_language_of_very_long_texts(spark):
+    """The margin does not fall with the length: all parts of a text are judged with the dictionary."""
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.1')}/documents.parquet")
+    model = language.learn(docs, "doc_id", "text", "lang")
+    rows = [(lang, n, t) for (lang, n), t in long_texts(docs, (500_000, 5_000_000, 20_000_000)).items()]
+    df = spark.createDataFrame(rows, "lang string, n int, text string").repartition(6)
+    got = {(r.lang, r.n): r for r in language.identify(df, model, min_margin=0.0004, min_bytes=400).drop("text").collect()}
+    assert len(got) == 6
+    for (lang, _), r in got.items():
+        assert r.lang_pred == lang and not r.lang_rejected and r.lang_margin > 0.5 * got[lang, 500_000].lang_margin
+
+
 # -- 6: neighbours -------------------------------------------------------------------------------------
 
 
