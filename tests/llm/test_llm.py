@@ -120,6 +120,29 @@ def test_near_copies_equal_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("percent", [40, 60, 80])
+def test_near_copies_at_lower_thresholds(spark, percent):
+    """Pairs just at the threshold, and a large node of them, at thresholds other than the default."""
+    rng, rows = random.Random(percent), []
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    same = next(n for n in range(204) if 100 * n >= percent * (400 - n))  # of 200 shingles each
+    for i in range(300):
+        first = [word() for _ in range(204)]
+        rows += [(2 * i, " ".join(first)), (2 * i + 1, " ".join(first[:same + 4] + [word() for _ in range(200 - same)]))]
+    base = [word() for _ in range(204)]
+    rows += [(1000 + i, " ".join(base[:same + 4] + [word() for _ in range(200 - same)])) for i in range(450)]
+    got = chosen_path.components(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, percent)
+
+
+def test_sizes_follow_from_the_threshold():
+    assert chosen_path.shape(85) == (8, 64, 2, 39) and chosen_path.shape(80) == (10, 64, 2, 34)
+    for percent in (1, 5, 30, 50, 70, 99):
+        trees, tokens, branches, agree = chosen_path.shape(percent)
+        assert (1 - percent / 100) ** trees <= 3e-7 and tokens >= trees and branches * percent >= 150 and 0 <= agree <= tokens
+    assert chosen_path.shape(100).agree == 64
+
+
 def test_near_copies_of_given_table(spark):
     got = queries.op2_near_dedup(spark, SF).collect()
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]

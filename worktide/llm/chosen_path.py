@@ -10,7 +10,9 @@ so a group of n copies costs about n links.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,21 +23,49 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import LOWER, UPPER, Scratch, runs, slices
 
-TOKENS = 64  # minwise tokens of a sketch
-TREES = 8  # of two documents at the threshold 0.85, all eight miss with probability 3e-7
-BRANCHES = 2  # children of a document in a large node: above 1 / 0.85, so paths of linked documents survive
+TOKENS = 64  # minwise tokens of a sketch, more if there are more trees
 DEPTH = 8
 ALIKE = 0.5  # a child with this share of its parent is not branched further
 NODE = 384  # documents of a small node, and about the pivots of a large one
-PROBABLE = 0.6  # sketches of two linked documents agree on fewer tokens with probability below 1e-6
+MISS = 3e-7  # probability that no tree shows a pair at the threshold
+UNLIKE = 1e-6  # probability that the sketches of such a pair agree on too few tokens
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _SPLIT = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
-_RNG = np.random.default_rng(20240229)
-_TIMES = _RNG.integers(1, 1 << 63, TOKENS, dtype=np.uint64) | np.uint64(1)
-_PLUS = _RNG.integers(0, 1 << 63, TOKENS, dtype=np.uint64)
 
 
+class Shape(NamedTuple):
+    """What a threshold needs of sketches and trees."""
+
+    trees: int
+    tokens: int
+    branches: int
+    agree: int  # tokens that the sketches of a probable pair share at least
+
+
+def shape(percent: int) -> Shape:
+    """Sizes for pairs of ``percent`` similarity, at which a minwise token agrees with that probability.
+
+    All trees miss such a pair with a probability of at most MISS, its sketches agree on fewer than ``agree`` tokens with
+    one of at most UNLIKE, and of its children in a large node it shares 1.5 or more on average, so its paths survive.
+    """
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent is {percent}; thresholds are 1 to 100")
+    same = percent / 100
+    trees = 1 if percent == 100 else math.ceil(math.log(MISS) / math.log(1 - same))
+    tokens, agree = max(TOKENS, trees), 0
+    below = 0.0
+    while agree < tokens:
+        below += math.comb(tokens, agree) * same**agree * (1 - same) ** (tokens - agree)
+        if below > UNLIKE:
+            break
+        agree += 1
+    return Shape(trees, tokens, math.ceil(1.5 / same), agree)
+
+
+def _hashes(tokens: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20240229)
+    return rng.integers(1, 1 << 63, tokens, dtype=np.uint64) | np.uint64(1), rng.integers(0, 1 << 63, tokens, dtype=np.uint64)
 
 
 def shingles(text: str | None, size: int = 5) -> np.ndarray:
@@ -53,28 +83,29 @@ def shingles(text: str | None, size: int = 5) -> np.ndarray:
     return np.unique(out)
 
 
-def sketch(found: np.ndarray) -> np.ndarray:
-    """The minwise tokens of a set."""
-    low = np.full(TOKENS, np.iinfo(np.uint32).max, np.uint32)
+def sketch(found: np.ndarray, times: np.ndarray, plus: np.ndarray) -> np.ndarray:
+    """The minwise tokens of a set, one for each hash function."""
+    low = np.full(len(times), np.iinfo(np.uint32).max, np.uint32)
     for at in range(0, len(found), 8192):
-        low = np.minimum(low, ((found[at:at + 8192, None] * _TIMES + _PLUS) >> np.uint64(32)).min(axis=0).astype(np.uint32))
+        low = np.minimum(low, ((found[at:at + 8192, None] * times + plus) >> np.uint64(32)).min(axis=0).astype(np.uint32))
     return low
 
 
-def _sets(df: DataFrame, key: str, text: str, size: int, whole: bool) -> DataFrame:
-    """_k, _n, _u (128-bit name of the set) and _sig, or with ``whole`` the set itself as _set."""
+def _sets(df: DataFrame, key: str, text: str, size: int, tokens: int = 0) -> DataFrame:
+    """_k, _n, _u (128-bit name of the set) and _sig of ``tokens`` tokens, or without them the set itself as _set."""
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _hashes(tokens)
         for batch in slices(batches, "_text"):
             counts, names, data = [], [], []
             for value in batch.column("_text").to_pylist():
                 found = shingles(value, size)
                 counts.append(len(found))
                 names.append(xxhash.xxh3_128_digest(found.tobytes()))
-                data.append(found.tobytes() if whole else sketch(found).tobytes())
+                data.append(sketch(found, *hashes).tobytes() if tokens else found.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("_k"), pa.array(counts, pa.int64()), pa.array(names, pa.binary()), pa.array(data, pa.binary())], ["_k", "_n", "_u", out])
 
-    out = "_set" if whole else "_sig"
+    out = "_sig" if tokens else "_set"
     return df.select(F.col(key).cast("long").alias("_k"), F.col(text).alias("_text")).mapInArrow(make, f"_k long, _n long, _u binary, {out} binary")
 
 
@@ -82,17 +113,21 @@ def _token(i) -> Column:
     return F.substring("_sig", F.lit(4) * i + 1, F.lit(4))
 
 
-def _probable(node: pa.Table) -> pa.RecordBatch | None:
+def _probable(sizes: Shape):
     """The documents of a small node whose sketch is near another one's."""
-    sig = np.frombuffer(b"".join(node.column("_sig").to_pylist()), np.uint32).reshape(-1, TOKENS)
-    near = np.zeros((len(sig), len(sig)), np.int16)
-    for i in range(TOKENS):
-        near += sig[:, i, None] == sig[None, :, i]
-    np.fill_diagonal(near, 0)
-    flagged = np.flatnonzero((near >= PROBABLE * TOKENS).any(axis=1))
-    if not len(flagged):
-        return None
-    return pa.RecordBatch.from_arrays([node.column("_u").combine_chunks().take(pa.array(flagged))], ["_u"])
+
+    def flag(node: pa.Table) -> pa.RecordBatch | None:
+        sig = np.frombuffer(b"".join(node.column("_sig").to_pylist()), np.uint32).reshape(-1, sizes.tokens)
+        near = np.zeros((len(sig), len(sig)), np.int16)
+        for i in range(sizes.tokens):
+            near += sig[:, i, None] == sig[None, :, i]
+        np.fill_diagonal(near, -1)
+        flagged = np.flatnonzero((near >= sizes.agree).any(axis=1))
+        if not len(flagged):
+            return None
+        return pa.RecordBatch.from_arrays([node.column("_u").combine_chunks().take(pa.array(flagged))], ["_u"])
+
+    return flag
 
 
 def _compare(percent: int):
@@ -171,6 +206,7 @@ def connect(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 def _resolve(rows: DataFrame, labels: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """The labels (_u, _label) after all links that the nodes ``rows`` (_node, _u) show."""
+    sizes = shape(percent)
     rows = rows.withColumn("_parent", F.lit(None).cast("long"))
     for depth in range(DEPTH + 1):
         labelled = rows.join(labels, "_u")
@@ -203,8 +239,8 @@ def _resolve(rows: DataFrame, labels: DataFrame, sketches: DataFrame, sets: Data
             moved = connect(edges, scratch).select(F.col("_from").alias("_label"), "_to")
             labels = scratch.write(labels.join(moved, "_label", "left").select("_u", F.coalesce("_to", "_label").alias("_label")))
         rest = live.where(large & ~last & (F.col("_minor") > NODE)).select("_node", "_u", F.col("_all").alias("_parent"))
-        branches = F.explode(F.array(*[F.lit(depth * BRANCHES + b) for b in range(BRANCHES)]))
-        chosen = F.pmod(F.xxhash64("_node", "_branch"), F.lit(TOKENS)).cast("int")
+        branches = F.explode(F.array(*[F.lit(depth * sizes.branches + b) for b in range(sizes.branches)]))
+        chosen = F.pmod(F.xxhash64("_node", "_branch"), F.lit(sizes.tokens)).cast("int")
         rows = scratch.write(
             rest.join(sketches, "_u").select("_node", "_u", "_parent", "_sig", branches.alias("_branch"))
             .select("_u", F.xxhash64("_node", "_branch", _token(chosen)).alias("_node"), "_parent")
@@ -218,29 +254,29 @@ def components(df: DataFrame, key: str = "doc_id", text: str = "text", size: int
     """One row per input row: ``key``, n_shingles, component_id, kept.
 
     Documents are linked if 100 * intersection >= ``percent`` * union of their sets of ``size``-word shingles; a
-    component's id is its smallest key. Texts that are null or without words have empty sets and are
+    component's id is its smallest key. Trees, sketches and branches follow from ``percent`` (``shape``). Texts that are null or without words have empty sets and are
     linked with nothing, like rows without a key. Equal sets are one document until the end, so exact
     copies and repeated rows cost one aggregation.
     """
-    scratch = Scratch(df.sparkSession)
-    base = scratch.write(_sets(df, key, text, size, whole=False))
+    sizes, scratch = shape(percent), Scratch(df.sparkSession)
+    base = scratch.write(_sets(df, key, text, size, sizes.tokens))
     some = base.where("_n > 0 AND _k IS NOT NULL")
     reps = scratch.write(some.groupBy("_u").agg(F.min("_k").alias("_label"), F.max("_sig").alias("_sig")))
     sketches = reps.select("_u", "_sig")
-    paths = reps.select("_u", F.posexplode(F.array(*[_token(i) for i in range(TREES)])).alias("_tree", "_value"))
+    paths = reps.select("_u", F.posexplode(F.array(*[_token(i) for i in range(sizes.trees)])).alias("_tree", "_value"))
     paths = paths.select("_u", "_tree", F.xxhash64("_tree", "_value").alias("_node"))
     shared = scratch.write(paths.groupBy("_node").agg(F.count(F.lit(1)).alias("_all")).where("_all > 1"))
     met = scratch.write(paths.join(shared, "_node"))
     small = met.where(F.col("_all") <= NODE).select("_node", "_u").join(sketches, "_u")
-    probable = runs(small, ["_node"], _probable, "_u binary").unionByName(met.where(F.col("_all") > NODE).select("_u"))
+    probable = runs(small, ["_node"], _probable(sizes), "_u binary").unionByName(met.where(F.col("_all") > NODE).select("_u"))
     candidates = scratch.write(probable.distinct())
     labels = scratch.write(reps.join(candidates, "_u").select("_u", "_label"))
     firsts = labels.select(F.col("_label").alias("_first")).distinct()
     source = df.select(F.col(key).cast("long").alias("_first"), F.col(text).alias("_text")).join(firsts, "_first")
-    sets = scratch.write(_sets(source, "_first", "_text", size, whole=True).select("_u", "_n", "_set").dropDuplicates(["_u"]))
+    sets = scratch.write(_sets(source, "_first", "_text", size).select("_u", "_n", "_set").dropDuplicates(["_u"]))
     nodes = scratch.write(met.join(candidates, "_u").select("_node", "_u", "_tree"))
     # The first tree finds most links; the nodes of the others are then mostly of one class and drop out.
-    for first, stop in ((0, 1), (1, TREES)):
+    for first, stop in ((0, 1), (1, sizes.trees)):
         labels = _resolve(nodes.where(F.col("_tree").between(first, stop - 1)).select("_node", "_u"), labels, sketches, sets, percent, scratch)
     known = reps.select("_u", F.col("_label").alias("_own")).join(labels, "_u", "left").select("_u", F.coalesce("_label", "_own").alias("_component"))
     known = scratch.write(known)
