@@ -173,6 +173,26 @@ def test_stream_equals_batch(spark, tmp_path):
     assert state.versions().count() == before
 
 
+def test_damage_behind_the_first_row_group_is_found(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    good, bad = str(tmp_path / "good.parquet"), str(tmp_path / "bad.parquet")
+    table = pa.table({"title": [f"t{i}" for i in range(3000)], "company": [f"c{i * 7919 % 3000}" for i in range(3000)]})
+    for path in (good, bad):
+        pq.write_table(table, path, row_group_size=1000)
+    last = pq.ParquetFile(bad).metadata.row_group(1).column(1)  # of the second row group, a column that no count reads
+    data = bytearray((tmp_path / "bad.parquet").read_bytes())
+    start = last.dictionary_page_offset or last.data_page_offset
+    data[start:start + last.total_compressed_size] = b"\xff" * last.total_compressed_size
+    (tmp_path / "bad.parquet").write_bytes(data)
+    scan = {r.path.rsplit("/", 1)[1]: (r.status, r.num_rows) for r in files.scan_files(spark, str(tmp_path / "*.parquet")).collect()}
+    assert scan == {"good.parquet": ("ok", 3000), "bad.parquet": ("corrupt", 3000)}
+    kept, out = files.quarantine(spark, [(good, "m"), (bad, "n")])
+    assert kept == [(good, "m")] and [x[:2] for x in out] == [(bad, "n")]
+    assert files.load_batch(spark, kept).count() == 3000
+
+
 def test_quarantine_names_the_reason(spark, tmp_path):
     with pytest.raises(ValueError, match="no readable file"):
         files.load_batch(spark, [])

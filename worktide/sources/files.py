@@ -67,11 +67,13 @@ def load_batch(spark: SparkSession, files: Sequence[tuple[str, str]]) -> DataFra
 
 
 def quarantine(spark: SparkSession, files: Sequence[tuple[str, str]]) -> tuple[list[tuple[str, str]], list[tuple[str, str, str]]]:
-    """Split a batch into readable files and (path, platform, reason) rejects; reads at most one row each."""
+    """Split a batch into readable files and (path, platform, reason) rejects; every row and column is read, so damage anywhere shows."""
     good, bad = [], []
     for path, platform in files:
         try:
-            empty = spark.read.parquet(path).isEmpty()
+            found = spark.read.parquet(path)
+            found.write.format("noop").mode("overwrite").save()
+            empty = found.isEmpty()
         except Exception as error:  # any unreadable file is set aside, whatever is wrong with it
             bad.append((path, platform, type(error).__name__))
             continue
@@ -235,7 +237,7 @@ SCAN_SCHEMA = "path string, status string, error string, num_rows bigint, num_co
 def scan_files(spark: SparkSession, glob: str) -> DataFrame:
     """Health of every Parquet file: size, rows, columns, schema and empty/corrupt status.
 
-    Each task opens its share of files and reads the footer and first row group only.
+    Each task opens its share of files and reads all their row groups and columns, a batch of rows at a time.
     """
     names = list_files(spark, glob)
 
@@ -256,8 +258,9 @@ def scan_files(spark: SparkSession, glob: str) -> DataFrame:
                             footer = pq.ParquetFile(handle)
                             row[3:5] = [footer.metadata.num_rows, footer.metadata.num_columns]
                             row[6] = footer.schema_arrow.remove_metadata().to_string(show_field_metadata=False)
-                            if footer.metadata.num_row_groups:
-                                footer.read_row_group(0)
+                            held = sum(part.num_rows for part in footer.iter_batches(batch_size=8192))
+                            if held != row[3]:
+                                row[1:3] = ["corrupt", f"{held} of {row[3]} rows"]
                     except Exception as error:  # the report names whatever broke
                         row[1:3] = ["corrupt", type(error).__name__]
                 rows.append(row)
