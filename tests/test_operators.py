@@ -244,6 +244,13 @@ def test_leaders_of_zero_null_and_repeated_vectors_end(spark):
     assert found == {"a": "a", "b": "a", "c": "a", "z1": "z1", "z2": "z2", "n": "n"}
 
 
+def test_leaders_of_equal_rank_keep_their_own_vectors(spark):
+    items = [("a", [1.0, 0.0], 1), ("b", [0.0, 1.0], 1), ("c", [0.01, 1.0], 2), ("d", [1.0, 0.01], 1), ("b", [0.0, 1.0], 1), ("b", [0.0, 1.0], 7), (None, [-1.0, 0.0], 1)]
+    df = spark.createDataFrame(items, "item string, vector array<double>, rank int")
+    found = [(r.item, r.leader) for r in skills.leaders(df, "item", "vector", "rank").collect()]
+    assert sorted(found, key=repr) == sorted([("a", "a"), ("b", "b"), ("b", "b"), ("b", "b"), ("c", "b"), ("d", "a"), (None, None)], key=repr)
+
+
 def test_terms_of_any_length_are_found(spark):
     vocab = spark.createDataFrame([("one two three four five six", "tech"), ("two", "tech")], "term string, skill_type string")
     df = spark.createDataFrame([(1, "zero one two three four five six seven"), (2, ""), (3, None)], "id int, text string")

@@ -13,6 +13,7 @@ from ..functions.text import collapse, is_noise, protect_terms, smart_title, spl
 from ..session import cut_lineage
 from .grid import dense, grid_top_k
 from .merge import only_new
+from .prefix import ordered_prefix
 from .windows import assign_keys, top_k
 
 SKIP = "__SKIP__"
@@ -151,11 +152,15 @@ def leaders(vectors: DataFrame, item: str, vector: str, rank: str, tau: float =
     Each round makes every undecided item a leader that has no undecided neighbour ranked before it,
     and settles the neighbours of new leaders; finally members join their first leader. Rounds only
     exchange one best neighbour per item, never neighbour lists. Zero and null vectors are near nothing
-    but themselves and lead alone. Items of one rank are one item: the smallest of them stands for it and all join its leader.
+    but themselves and lead alone. Items of one rank are ordered by item and vector; only rows equal in both are one item,
+    at the smallest of their ranks.
     """
     every = cut_lineage(vectors.select(F.col(rank).cast("bigint").alias("rank"), F.col(item).alias("item"), F.col(vector).alias("vector")))
     alone = every.filter("vector IS NULL OR rank IS NULL").select("item", F.col("item").alias("leader"))
-    items = cut_lineage(top_k(every.filter("vector IS NOT NULL AND rank IS NOT NULL"), ["rank"], [F.asc("item"), F.asc("vector")], 1).select("rank", "item", "vector"))
+    ranked = every.filter("vector IS NOT NULL AND rank IS NOT NULL")
+    unique = ranked.groupBy("item", "vector").agg(F.min("rank").alias("_given"))
+    placed = ordered_prefix(unique, [], [F.asc("_given"), F.asc("item"), F.asc("vector")], rank="rank")
+    items = cut_lineage(placed.select("rank", "item", "vector"))
     open_items, found = items, None
     while not open_items.isEmpty():
         first = _lowest_near(open_items, open_items, tau).filter(F.col("rank") == F.col("near")).select("rank")
@@ -169,7 +174,8 @@ def leaders(vectors: DataFrame, item: str, vector: str, rank: str, tau: float =
         return alone
     joined = _lowest_near(items, found, tau)
     names = items.select(F.col("rank").alias("near"), F.col("item").alias("leader"))
-    members = every.filter("vector IS NOT NULL").select("rank", "item")
+    at = items.select("rank", F.col("item").alias("_item"), F.col("vector").alias("_vector"))
+    members = ranked.drop("rank").join(at, F.col("item").eqNullSafe(F.col("_item")) & (F.col("vector") == F.col("_vector"))).select("rank", "item")
     return members.join(joined, "rank").join(names, "near").select("item", "leader").unionByName(alone)
 
 
