@@ -177,6 +177,19 @@ def test_exact_groups(spark, awkward, empty, chunk):
     assert fingerprints.exact_groups(empty).count() == 0
 
 
+def test_one_key_with_two_texts(spark):
+    """Each row is decided by its key and text; of equal rows one stays, and rows without a key all do."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (3, c.replace(" ", "  ")), (4, a + " more"), (4, b.replace("b30", "x")), (None, c), (None, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    exact = fingerprints.drop_copies(df)
+    squeezed = lambda found: sorted(((r.doc_id, re.sub(SPACE, " ", r.text)) for r in found.collect()), key=repr)
+    want = [(1, a), (2, b), (3, c), (4, a + " more"), (4, b.replace("b30", "x")), (None, c), (None, c)]
+    assert squeezed(exact) == sorted(want, key=repr) and exact.columns == df.columns
+    near = [(1, a), (2, b), (3, c), (None, c), (None, c)]
+    assert squeezed(chosen_path.drop_near_copies(exact)) == sorted(near, key=repr)
+
+
 def test_chunk_hashes_compose():
     powers, data = fingerprints._Powers(1000), bytes(range(256)) * 3
     whole = powers.hash(data, 0)

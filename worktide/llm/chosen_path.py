@@ -20,8 +20,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.prefix import ordered_prefix
 from ..session import cut_lineage
-from .common import LOWER, UPPER, Scratch, runs, slices
+from .common import LOWER, UPPER, Scratch, keys_repeat, runs, slices
 
 TOKENS = 64  # minwise tokens of a sketch, more if there are more trees
 DEPTH = 8
@@ -291,6 +292,15 @@ def components(df: DataFrame, key: str = "doc_id", text: str = "text", size: int
 
 
 def drop_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``df`` that stay, all columns: one document of each component, and all without words or key."""
+    """The rows of ``df`` that stay, all columns: one document of each component, and all without words or key.
+
+    Where keys repeat, each text of a key is a document of its own, and of rows equal in key and text one stays.
+    """
+    if keys_repeat(df, key):
+        rows = df.where(F.col(key).isNotNull()).withColumns({"_key": F.col(key).cast("long"), "_digest": F.sha2(F.coalesce(text, F.lit("")), 256)})
+        own = ["_key", "_digest"]
+        placed = ordered_prefix(rows.select(*own).distinct(), [], [F.asc(c) for c in own], rank="_place")
+        once = drop_near_copies(rows.dropDuplicates(own).join(placed, own), "_place", text, size, percent)
+        return once.select(*df.columns).unionByName(df.where(F.col(key).isNull()))
     gone = components(df, key, text, size, percent).where("NOT kept").select(F.col(key).alias("_gone")).distinct()
     return df.join(gone, df[key].cast("long") == gone["_gone"], "left_anti")

@@ -87,6 +87,11 @@ def runs(
     return placed.mapInArrow(stream, schema)
 
 
+def keys_repeat(df: DataFrame, key: str) -> bool:
+    """Whether any key other than null is in more than one row."""
+    return not df.where(F.col(key).isNotNull()).groupBy(F.col(key)).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").isEmpty()
+
+
 class Scratch:
     """Tables written to the shared folder, so that lost executors lose nothing and plans stay short.
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import SPACE
+from .common import SPACE, keys_repeat
 
 #: Primes below 2^31 and a base for each; together a fingerprint of about 124 bits.
 PRIMES = (2147483647, 2147483629, 2147483587, 2147483579)
@@ -104,14 +104,19 @@ def exact_groups(df: DataFrame, key: str = "doc_id", text: str = "text", chunk_b
     """
     marks = cut_lineage(fingerprints(df, key, text, chunk_bytes))
     same = ["n_bytes", *MARKS]
-    groups = cut_lineage(marks.groupBy(*same).agg(F.min(key).alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1"))
+    # Where keys repeat, a key and its text's digest name what is compared, as one key can have several texts.
+    repeat = keys_repeat(marks, key)
+    name = F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("_id"), F.col("text_sha256").alias("_digest"))) if repeat else F.col(key)
+    marks = marks.withColumn("_name", name)
+    groups = cut_lineage(marks.groupBy(*same).agg(F.min(key).alias("keep_id"), F.min("_name").alias("_first"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1"))
     grouped = cut_lineage(marks.join(groups, same, "left"))
-    pairs = grouped.where(F.col("group_size").isNotNull() & (F.col(key) != F.col("keep_id"))).select(F.col(key).alias("_id"), F.col("keep_id").alias("_keep")).distinct()
-    odd = cut_lineage(_differing(df, pairs, key, text, chunk_bytes))
+    pairs = grouped.where(F.col("group_size").isNotNull() & (F.col("_name") != F.col("_first"))).select(F.col("_name").alias("_id"), F.col("_first").alias("_keep")).distinct()
+    named = df.select(F.col(key), F.col(text), F.sha2(normalized(F.col(text)), 256).alias("text_sha256")).withColumn("_name", name) if repeat else df.select(F.col(key).alias("_name"), F.col(text))
+    odd = cut_lineage(_differing(named, pairs, "_name", text, chunk_bytes))
     if odd.isEmpty():
         found = grouped
     else:
-        split = grouped.join(odd.withColumnRenamed("_k", key).withColumn("_odd", F.lit(True)), key, "left").drop("keep_id", "group_size")
+        split = grouped.join(odd.withColumnRenamed("_k", "_name").withColumn("_odd", F.lit(True)), "_name", "left").drop("keep_id", "group_size")
         split = split.withColumn("_class", F.when(F.col("_odd"), F.col("text_sha256")).otherwise(F.lit("")))
         again = cut_lineage(split.groupBy(*same, "_class").agg(F.min(key).alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
         found = split.join(again, [*same, "_class"], "left")
@@ -123,6 +128,14 @@ def exact_groups(df: DataFrame, key: str = "doc_id", text: str = "text", chunk_b
 
 
 def drop_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, all columns; only the ids that go are joined."""
-    gone = exact_groups(df, key, text).where("NOT kept").select(F.col(key).alias("_gone")).distinct()
-    return df.join(gone, df[key] == gone["_gone"], "left_anti")
+    """The rows of ``df`` that stay, all columns; only the ids that go are joined.
+
+    Where keys repeat, each row is decided by its key and text: another text of the same key stays, and of rows equal
+    in both one does. Rows without a key all stay.
+    """
+    gone = exact_groups(df, key, text).where("NOT kept").select(F.col(key).alias("_gone"), F.col("text_sha256").alias("_gone_digest")).distinct()
+    if not keys_repeat(df, key):
+        return df.join(gone, df[key] == gone["_gone"], "left_anti")
+    rows = df.where(F.col(key).isNotNull()).withColumn("_digest", F.sha2(normalized(F.col(text)), 256)).dropDuplicates([key, "_digest"])
+    kept = rows.join(gone, (rows[key] == gone["_gone"]) & (rows["_digest"] == gone["_gone_digest"]), "left_anti")
+    return kept.select(*df.columns).unionByName(df.where(F.col(key).isNull()))
