@@ -369,6 +369,14 @@ def test_mined_rules_decide_like_brute_force(spark):
         assert (r.rule is None) == (r.page_id % 3 == 2)
 
 
+def test_every_mined_rule_is_tried(spark, monkeypatch):
+    """The weakest of 6000 rules decides the URL that no other fits."""
+    rules = spark.createDataFrame([([f"path=a{i}"], "allow", 1.0, 0.5) for i in range(6000)] + [(["path=rare"], "block", 0.7, 0.02)], "antecedent array<string>, verdict string, confidence double, support double")
+    monkeypatch.setattr(url_rules, "mine", lambda *rest: rules)
+    rows = spark.createDataFrame([(1, "http://h.net/rare"), (2, "http://h.net/a7"), (3, "http://h.net/b")], "page_id long, url string")
+    assert of(url_rules.judge(rows, queries.URL_RULES), "page_id", "verdict", "confidence") == [(1, "block", 0.7), (2, "allow", 1.0), (3, "allow", None)]
+
+
 # -- 8: toxicity ---------------------------------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import fold_case, hash_sample
 
 Rule = tuple[str, str, str]  # host, path, verdict
-MOST_RULES = 5_000
+LONGEST = 4  # tokens of a mined rule
 
 
 def host_of(url: Column) -> Column:
@@ -53,7 +53,7 @@ def mine(labelled: DataFrame, items: str, verdict: str, min_support: float, min_
         return None
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(marked)
     said = F.element_at("consequent", 1)
-    return model.associationRules.where(said.startswith("verdict=") & (F.size("antecedent") <= 4)).select(
+    return model.associationRules.where(said.startswith("verdict=") & (F.size("antecedent") <= LONGEST)).select(
         F.array_sort("antecedent").alias("antecedent"), F.regexp_replace(said, "^verdict=", "").alias("verdict"), "confidence", "support"
     )
 
@@ -74,7 +74,7 @@ def judge(
 
     A given rule decides; where none fits, the mined rule of the highest confidence, then support, then
     most tokens, then ``block``; where none of those fits either, ``default``. Rules are mined from at most about
-    ``sample`` decided URLs, chosen by hash. Null and malformed URLs have empty host and path and no tokens but their
+    ``sample`` decided URLs, chosen by hash, and have at most LONGEST tokens; all of them are tried. Null and malformed URLs have empty host and path and no tokens but their
     scheme; repeated rows give repeated results.
     """
     verdicts = F.create_map(*[F.lit(x) for h, p, v in rules for x in (h + p, v)])
@@ -88,9 +88,8 @@ def judge(
     if mined is None:
         judged = open_urls.select("_k", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"), F.lit(None).cast("double").alias("confidence"))
     else:
-        strongest = mined.orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"), "antecedent").limit(MOST_RULES)
-        index = indexed(strongest).select("_token", "antecedent", F.struct("confidence", "support", F.size("antecedent").alias("size"), "verdict").alias("_rule"))
-        met = open_urls.select("*", F.explode_outer("_items").alias("_token")).join(F.broadcast(index), "_token", "left")
+        index = indexed(mined).select("_token", "antecedent", F.struct("confidence", "support", F.size("antecedent").alias("size"), "verdict").alias("_rule"))
+        met = open_urls.select("*", F.explode_outer("_items").alias("_token")).join(index, "_token", "left")
         fits = F.when(F.size(F.array_except("antecedent", "_items")) == 0, F.col("_rule"))
         best = met.select("_k", "_row", "host", "path", fits.alias("_fit")).groupBy("_k", "_row", "host", "path").agg(F.max("_fit").alias("_best"))
         judged = best.select("_k", "host", "path", F.lit(None).cast("string").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"), F.col("_best.confidence").alias("confidence"))
