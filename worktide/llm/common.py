@@ -101,10 +101,10 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.count = spark, f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}", 0
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, **options: str) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:

@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chosen_path, fingerprints, language, licenses, lines, packing, toxicity, url_rules
+from . import alignment, ann, bpe, chosen_path, fingerprints, language, licenses, lines, packing, toxicity, url_rules, whitening
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +112,14 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_near_dedup")
 def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.components(table(spark, folder, "documents"))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_corpus(table(spark, folder, "documents"), BYTE_LEVEL, PIECES)
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
