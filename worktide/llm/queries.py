@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, ann, bpe, chosen_path, fingerprints, language, licenses, lines, packing, toxicity, url_rules, whitening
+from . import alignment, ann, bpe, chosen_path, fingerprints, language, licenses, lines, packing, repeats, toxicity, url_rules, whitening
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -123,3 +123,20 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     found = whitening.whiten(table(spark, folder, "embeddings"))
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query(
+    "op13_substring_dedup",
+    r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+    p AS (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 12)) AS pos FROM w),
+    k AS (SELECT doc_id, pos, array_to_string(ws[pos:pos + 12], ' ') AS words FROM p),
+    f AS (SELECT words, min(doc_id) AS first FROM k GROUP BY 1),
+    gone AS (SELECT DISTINCT k.doc_id, unnest(generate_series(pos, pos + 12)) AS pos FROM k JOIN f USING (words) WHERE first < k.doc_id),
+    each AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w),
+    kept AS (SELECT each.doc_id, count(*) AS n_words, count(gone.pos) AS n_removed, string_agg(word, ' ' ORDER BY each.pos) FILTER (gone.pos IS NULL) AS left_text
+      FROM each LEFT JOIN gone ON gone.doc_id = each.doc_id AND gone.pos = each.pos GROUP BY 1)
+    SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(left_text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)""",
+)
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = repeats.drop_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
