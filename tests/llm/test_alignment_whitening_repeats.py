@@ -178,7 +178,7 @@ def test_whitening_of_few_dimensions_large_entries_and_none(spark):
         return sorted(whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect(), key=lambda r: (repr(r.vec_id), r.component))
 
     small = [[1.0, 5.0], [2.0, 4.0], [4.0, -4.0], [4.0, -4.0]]
-    check_whitening(run(list(zip([1, 2, 3, 3], small, strict=True))), small)
+    check_whitening(run(list(zip([1, 2, 3, 4], small, strict=True))), small)
     assert {r.vec_id for r in run([(None, [1.0]), (2, [3.0])])} == {None, 2}
     huge = run([(1, [1e30, 0.0]), (2, [-1e30, 1.0]), (3, [0.0, 2.0])])  # held at the bound of 62 bits
     assert len(huge) == 6 and all(r.deviation is None or r.deviation >= 0 for r in huge)

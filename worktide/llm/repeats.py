@@ -33,7 +33,7 @@ NO_ID = -(1 << 63)
 PREFIX = 7
 #: Prefixes of more suffixes are extended; at most MOST_EXTENDED of them, those that hold the largest shares.
 MOST_SUFFIXES, MOST_EXTENDED = 1 << 14, 1 << 16
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 LOW = (1 << 40) - 1
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -91,11 +91,17 @@ def _slot_of_id(ids: np.ndarray, slots: int) -> np.ndarray:
     return ((ids.astype(np.uint64) * MIX >> np.uint64(40)) % np.uint64(slots)).astype(np.int64)
 
 
-def _rows(ids: np.ndarray, marks: np.ndarray, *values: np.ndarray) -> list[pa.Array]:
-    """_k, _r and lists of each of the values, one row for each document."""
-    order = np.lexsort((values[0], marks, ids))
+def _rows(ids: np.ndarray, marks: np.ndarray, *values: np.ndarray, alone: int = 0) -> list[pa.Array]:
+    """_k, _r and lists of each of the values: a row for each of the first ``alone`` entries, and one for each document of the others.
+
+    The entries of a group of prefixes or of a tree have rows of their own, so that their number does not depend on
+    how many groups there are.
+    """
+    order = np.append(np.arange(alone), alone + np.lexsort((values[0][alone:], marks[alone:], ids[alone:])))
     ids, marks = ids[order], marks[order]
-    first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1]))[:len(ids)])
+    new = np.append(True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1]))[:len(ids)]
+    new[:alone + 1] = True
+    first = np.flatnonzero(new)
     bounds = pa.array(np.append(first, len(ids)).astype(np.int32))
     return [pa.array(ids[first]), pa.array(marks[first].astype(np.int32)), *(pa.ListArray.from_arrays(bounds, pa.array(v[order].astype(np.int32))) for v in values)]
 
@@ -179,7 +185,7 @@ def _repeated_prefixes(table: pa.Table) -> pa.RecordBatch:
     keep = repeated[run] if len(run) else np.zeros(0, bool)
     columns = _rows(
         np.concatenate([ids[keep], *(b[7][b[5]] for b in blobs)]), np.concatenate([marks[keep], *(b[8][b[5]] for b in blobs)]),
-        np.concatenate([place[keep], *(b[6] for b in blobs)]),
+        np.concatenate([place[keep], *(b[6] for b in blobs)]), alone=int(keep.sum()),
     )
     rows = len(columns[0])
     pad = [pa.nulls(rows, pa.int64())] * 2
@@ -328,6 +334,7 @@ def _removed(table: pa.Table, min_words: int) -> pa.RecordBatch | None:
     columns = _rows(
         np.concatenate([key[ref], *(b[6][b[3]] for b in blobs)]), np.concatenate([mark[ref], *(b[7][b[3]] for b in blobs)]),
         np.concatenate([place[ref] + inner[begins][run], *(b[4] for b in blobs)]), np.concatenate([(stops - begins + 1)[run], *(b[5] for b in blobs)]),
+        alone=len(ref),
     )
     return pa.RecordBatch.from_arrays(columns, ["_k", "_r", "_from", "_windows"]) if len(columns[0]) else None
 
