@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse, is_noise, protect_terms, smart_title, split_span
 from ..session import cut_lineage
-from .grid import dense, grid_top_k
+from . import metric
 from .merge import only_new
-from .prefix import ordered_prefix
+from .postings import spread_lookup
 from .windows import assign_keys, top_k
 
 SKIP = "__SKIP__"
@@ -74,8 +72,11 @@ def _vocabulary_hits(df: DataFrame, key: str, text: str, vocab: DataFrame) -> Da
     def gram(j: Column, n: Column) -> Column:
         first, last = F.get("_w", j)["i"], F.get("_w", j + n - 1)["i"]
         joined = F.array_join(F.slice(F.col("_t"), first + 1, last - first + 1), " ")
+        # With the separators up to the next word, so that the text of merged hits can be put together from theirs.
+        upto = F.coalesce(F.get("_w", j + n)["i"], last + 1)
+        own = F.transform(F.sequence(first, upto - 1), lambda i: F.struct(i.alias("i"), F.get("_t", i).alias("t")))
         return F.struct(
-            first.alias("start"), (last + 1).alias("stop"), j.alias("pos"), (j + n).alias("end"), F.lower(joined).alias("_gram")
+            first.alias("start"), (last + 1).alias("stop"), j.alias("pos"), (j + n).alias("end"), F.lower(joined).alias("_gram"), own.alias("_own")
         )
 
     grams = F.flatten(
@@ -92,10 +93,10 @@ def _vocabulary_hits(df: DataFrame, key: str, text: str, vocab: DataFrame) -> Da
     spans = (
         opened.withColumn("_island", F.sum("_new").over(upto))
         .groupBy(key, "skill_type", "_island")
-        .agg(F.min("start").alias("pos"), F.max("stop").alias("_stop"))
+        .agg(F.min("start").alias("pos"), F.max("stop").alias("_stop"), F.flatten(F.collect_list("_own")).alias("_own"))
     )
-    cut = F.array_join(F.slice(F.col("_t"), F.col("pos") + 1, F.col("_stop") - F.col("pos")), " ")
-    return spans.join(prepared.select(key, "_t"), key).select(key, "skill_type", cut.alias("span"), "pos")
+    words_of = F.filter(F.array_sort(F.array_distinct("_own")), lambda e: e["i"] < F.col("_stop"))
+    return spans.select(key, "skill_type", F.array_join(F.transform(words_of, lambda e: e["t"]), " ").alias("span"), "pos")
 
 
 def extract_skills(
@@ -125,94 +126,42 @@ def extract_skills(
     )
 
 
-def _near_min(tau: float, vector: str, rank: str):
-    """Score that prefers the smallest ``rank`` among right vectors within cosine ``tau``."""
-
-    def score(lp: pd.DataFrame, rp: pd.DataFrame) -> np.ndarray:
-        near = np.round(dense(lp, vector, unit=True) @ dense(rp, vector, unit=True).T, 9) >= tau
-        near |= lp["rank"].to_numpy()[:, None] == rp[rank].to_numpy()[None, :]  # whatever its length, an item is near itself
-        return np.where(near, -rp[rank].to_numpy(dtype=np.float64)[None, :], -np.inf)
-
-    return score
-
-
-def _lowest_near(left: DataFrame, right: DataFrame, tau: float) -> DataFrame:
-    """(rank, near): for every left vector the smallest right rank within ``tau``."""
-    found = grid_top_k(
-        left.select("rank", "vector"), right.select(F.col("rank").alias("near"), "vector"), "rank", "near",
-        _near_min(tau, "vector", "near"), k=1, digits=0,
-    )
-    return found.select("rank", "near")
+def _numbered(vectors: DataFrame, item: str, vector: str, rank: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with a rank and a direction, rows without, and the distinct vectors of the former as nodes in the order of rank and item."""
+    every = cut_lineage(vectors.select(F.col(rank).cast("bigint").alias("rank"), F.col(item).alias("item"), F.col(vector).alias("vector")))
+    rows = metric.unit_rows(every.filter("rank IS NOT NULL"), "vector").drop("_unit")
+    directed = F.coalesce(F.exists("vector", lambda x: x != 0), F.lit(False))
+    alone = every.filter(~directed | F.col("rank").isNull())
+    return rows, alone, cut_lineage(metric.distinct_nodes(rows))
 
 
 def leaders(vectors: DataFrame, item: str, vector: str, rank: str, tau: float = 0.88) -> DataFrame:
     """Greedy leader canonicalisation: (item, leader).
 
-    Going down the ranking, an item without an earlier leader within cosine ``tau`` becomes one.
-    Each round makes every undecided item a leader that has no undecided neighbour ranked before it,
-    and settles the neighbours of new leaders; finally members join their first leader. Rounds only
-    exchange one best neighbour per item, never neighbour lists. Zero and null vectors are near nothing
-    but themselves and lead alone. Items of one rank are ordered by item and vector; only rows equal in both are one item,
-    at the smallest of their ranks.
+    Going down the ranking, an item without an earlier leader within cosine ``tau`` becomes one, and the others join
+    their first leader (``metric.greedy_leaders``). Zero and null vectors are near nothing and lead alone, as do items without a rank.
+    Items of one rank are ordered by item and vector; equal vectors are decided once.
     """
-    every = cut_lineage(vectors.select(F.col(rank).cast("bigint").alias("rank"), F.col(item).alias("item"), F.col(vector).alias("vector")))
-    alone = every.filter("vector IS NULL OR rank IS NULL").select("item", F.col("item").alias("leader"))
-    ranked = every.filter("vector IS NOT NULL AND rank IS NOT NULL")
-    unique = ranked.groupBy("item", "vector").agg(F.min("rank").alias("_given"))
-    placed = ordered_prefix(unique, [], [F.asc("_given"), F.asc("item"), F.asc("vector")], rank="rank")
-    items = cut_lineage(placed.select("rank", "item", "vector"))
-    open_items, found = items, None
-    while not open_items.isEmpty():
-        first = _lowest_near(open_items, open_items, tau).filter(F.col("rank") == F.col("near")).select("rank")
-        new = cut_lineage(open_items.join(first, "rank"))
-        found = new if found is None else found.unionByName(new)
-        if new.isEmpty():
-            raise RuntimeError("a round of leaders settled nothing")
-        settled = _lowest_near(open_items, new, tau).select("rank")
-        open_items = cut_lineage(open_items.join(settled, "rank", "left_anti"))
-    if found is None:
-        return alone
-    joined = _lowest_near(items, found, tau)
-    names = items.select(F.col("rank").alias("near"), F.col("item").alias("leader"))
-    at = items.select("rank", F.col("item").alias("_item"), F.col("vector").alias("_vector"))
-    members = ranked.drop("rank").join(at, F.col("item").eqNullSafe(F.col("_item")) & (F.col("vector") == F.col("_vector"))).select("rank", "item")
-    return members.join(joined, "rank").join(names, "near").select("item", "leader").unionByName(alone)
+    rows, alone, nodes = _numbered(vectors, item, vector, rank)
+    found = metric.greedy_leaders(nodes, tau)
+    names = nodes.select(F.col("node").alias("leader"), F.col("item").alias("_name"))
+    led = nodes.select("node", "vector").join(found, "node").join(names, "leader").select("vector", F.col("_name").alias("leader"))
+    members = spread_lookup(rows, led, "vector", "item").select("item", "leader")
+    return members.unionByName(alone.select("item", F.col("item").alias("leader")))
 
 
 def components(vectors: DataFrame, item: str, vector: str, rank: str, tau: float) -> DataFrame:
     """(item, cluster): connected groups of vectors within cosine ``tau``; cluster = smallest rank.
 
-    Labels spread by taking the smallest label among neighbours, then jumping to that label's own
-    label, until nothing changes. This groups differently from a density clustering.
+    Vectors without a direction, and items without a rank, are groups of their own. This groups differently from a
+    density clustering.
     """
-    state = cut_lineage(
-        vectors.select(
-            F.col(rank).cast("bigint").alias("rank"), F.col(item).alias("item"), F.col(vector).alias("vector"),
-            F.col(rank).cast("bigint").alias("label"),
-        )
-    )
-
-    def score(lp: pd.DataFrame, rp: pd.DataFrame) -> np.ndarray:
-        near = np.round(dense(lp, "vector", unit=True) @ dense(rp, "vector", unit=True).T, 9) >= tau
-        return np.where(near, -rp["near_label"].to_numpy(dtype=np.float64)[None, :], -np.inf)
-
-    while True:
-        right = state.select(F.col("rank").alias("near"), F.col("label").alias("near_label"), "vector")
-        best = grid_top_k(state.select("rank", "vector"), right, "rank", "near", score, k=1, digits=0)
-        spread = state.join(best.select("rank", (-F.col("score")).cast("bigint").alias("_low")), "rank", "left")
-        spread = spread.withColumn("_low", F.least("label", F.coalesce("_low", "label")))
-        labels = spread.select(F.col("rank").alias("_at"), F.col("_low").alias("_jump"))
-        jumped = spread.join(labels, F.col("_low") == F.col("_at"), "left")
-        nxt = cut_lineage(
-            jumped.select(
-                "rank", "item", "vector", F.col("label").alias("_old"),
-                F.least("_low", F.coalesce("_jump", "_low")).alias("label"),
-            )
-        )
-        changed = not nxt.filter(F.col("label") != F.col("_old")).isEmpty()
-        state = nxt.drop("_old")
-        if not changed:
-            return state.select("item", F.col("label").alias("cluster"))
+    rows, alone, nodes = _numbered(vectors, item, vector, rank)
+    found = metric.linked_components(nodes, tau)
+    ranks = nodes.select(F.col("node").alias("cluster"), F.col("rank").alias("_rank"))
+    grouped = nodes.select("node", "vector").join(found, "node").join(ranks, "cluster").select("vector", F.col("_rank").alias("cluster"))
+    members = spread_lookup(rows, grouped, "vector", "item").select("item", "cluster")
+    return members.unionByName(alone.select("item", F.col("rank").alias("cluster")))
 
 
 def cluster_canonicals(clusters: DataFrame, freq: DataFrame, item: str = "item") -> DataFrame:
@@ -225,23 +174,15 @@ def cluster_canonicals(clusters: DataFrame, freq: DataFrame, item: str = "item")
 
 def nearest(vectors: DataFrame, item: str, pool: DataFrame, name: str, vector: str, tau: float = 0.93, by: str | None = None) -> DataFrame:
     """(item, name, score): the most similar pool entry at or above ``tau``, within the same ``by``."""
-
-    def score(lp: pd.DataFrame, rp: pd.DataFrame) -> np.ndarray:
-        values = dense(lp, vector, unit=True) @ dense(rp, vector, unit=True).T
-        ok = np.round(values, 9) >= tau
-        if by:
-            ok &= lp[by].to_numpy()[:, None] == rp[by].to_numpy()[None, :]
-        return np.where(ok, values, -np.inf)
-
-    extra = [by] if by else []
-    return grid_top_k(vectors.select(item, vector, *extra), pool.select(name, vector, *extra), item, name, score, k=1)
+    return metric.nearest_in_pool(vectors, item, pool, name, vector, tau, by)
 
 
 def category_by_vector(jobs: DataFrame, key: str, categories: DataFrame, vector: str, tau: float, default: str) -> DataFrame:
-    """(key, category, score): nearest category text by cosine, else the default."""
-    best = nearest(jobs, key, categories, "category", vector, tau=-1.0)
-    final = F.when(F.col("score") >= tau, F.col("category")).otherwise(F.lit(default))
-    return best.select(key, final.alias("category"), "score")
+    """(key, category, score): nearest category text by cosine, else the default; a vector without a direction scores 0."""
+    best = jobs.select(key).join(nearest(jobs, key, categories, "category", vector, tau=-1.0), key, "left")
+    score = F.coalesce("score", F.lit(0.0))
+    final = F.when(score >= tau, F.col("category")).otherwise(F.lit(default))
+    return best.select(key, final.alias("category"), score.alias("score"))
 
 
 def cascade(skills: DataFrame, rules: DataFrame, sims: DataFrame, clusters: DataFrame) -> DataFrame:
