@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from worktide.functions import scoring
 from worktide.operators import aggregates as agg
-from worktide.operators import collaborative, joins, matching, merge, series, skills, windows
+from worktide.operators import collaborative, joins, matching, merge, series, skills, tables, windows
 from worktide.operators.prefix import ordered_prefix
+from worktide.streaming import increments
 
 
 def rows(df, *order):
@@ -29,17 +30,62 @@ def test_merge_is_idempotent_and_rejects_repeated_keys(spark):
         merge.merge_upsert(target, keyed.unionByName(keyed), ["k"]).collect()
 
 
-def test_versioned_table(spark, tmp_path):
-    table = merge.VersionedTable(spark, str(tmp_path / "t"))
-    one = spark.createDataFrame([(1,)], "k int")
-    two = spark.createDataFrame([(2,)], "k int")
-    assert not table.exists() and table.read("k int").count() == 0
-    table.append(one, "b0")
-    table.append(two, "b1")
-    table.append(two, "b1")
+def test_append_table(spark, tmp_path):
+    table = tables.AppendTable(spark, str(tmp_path / "t"), "k int")
+    one, two = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(2,)], "k int")
+    assert not table.exists() and table.read().count() == 0
+    table.append(one, "batch-0")
+    table.append(two, "batch-1")
+    table.append(two, "batch-1")
+    table.append(table.read(), "batch-0")  # a batch that reads the table and is delivered again
+    table.append(one.filter("k > 5"), "batch-2")
     assert rows(table.read(), "k") == [(1,), (2,)]
-    table.write(table.read().filter("k = 2"), "full")  # reads the table it replaces
-    assert rows(table.read(), "k") == [(2,)] and table.current() == ["full"]
+
+
+def test_folding_keeps_the_state_and_the_names(spark, tmp_path):
+    table = tables.AppendTable(spark, str(tmp_path / "t"), "k int, v int")
+    write = increments.latest_state(table, ["k"], lambda: [F.desc("v")], width=3)
+    for i in range(10):
+        write(spark.createDataFrame([(i % 4, i), (9, -i)], "k int, v int"), i)
+    state = increments.current_state(table, ["k"], lambda: [F.desc("v")])
+    assert rows(state, "k") == [(0, 8), (1, 9), (2, 6), (3, 7), (9, 0)]
+    assert table.batches() == ["batch-000000000009", "fold2-batch-000000000008"]
+    for i in (0, 8, 9):  # whatever it was folded into, a batch is known
+        write(spark.createDataFrame([(5, 100)], "k int, v int"), i)
+    assert rows(increments.current_state(table, ["k"], lambda: [F.desc("v")]), "k")[-1] == (9, 0)
+
+
+def test_bucket_table_writes_what_a_batch_touches(spark, tmp_path):
+    table = tables.BucketTable(spark, str(tmp_path / "t"), ["k"], "k int, s string", buckets=32)
+    table.upsert(spark.createDataFrame([(i, "a") for i in range(200)], "k int, s string"), "b0")
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    table.upsert(spark.createDataFrame([(3, "b"), (500, "b")], "k int, s string"), "b1")
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    assert 30 <= len(files.items() & after.items()) and len(after.keys() - files.keys()) <= 2
+    want = {i: "a" for i in range(200)} | {3: "b", 500: "b"}
+    assert dict(rows(table.read(), "k")) == want
+    table.upsert(spark.createDataFrame([(i, "late") for i in range(200)], "k int, s string"), "b0")  # delivered again
+    assert dict(rows(table.read(), "k")) == want
+
+
+def test_bucket_table_takes_up_a_change_that_stopped(spark, tmp_path, monkeypatch):
+    table = tables.BucketTable(spark, str(tmp_path / "t"), ["k"], "k int, s string", buckets=4)
+    table.upsert(spark.createDataFrame([(1, "a"), (2, "a")], "k int, s string"), "b0")
+    change = spark.createDataFrame([(1, "b")], "k int, s string")
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_swap_partitions", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            table.upsert(change, "b1")
+    assert rows(table.read(), "k") == [(1, "a"), (2, "a")]
+    table.upsert(change, "b1")
+    assert rows(table.read(), "k") == [(1, "b"), (2, "a")]
+    # a bucket that loses its last row is emptied
+    table.change(change, "b2", lambda old, new: old.join(new, "k", "left_anti"))
+    assert rows(table.read(), "k") == [(2, "a")]
 
 
 def test_replace_insert_flag(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from worktide.operators import filters, joins
-from worktide.operators.merge import VersionedTable
+from worktide.operators.tables import AppendTable, BucketTable
 from worktide.plans import dims, gold, macro, silver
 from worktide.sources import files, pages
 from worktide.streaming import increments
@@ -161,16 +161,16 @@ def test_stream_equals_batch(spark, tmp_path):
     for i in range(5):
         spark.createDataFrame([(k, i * 10 + k) for k in range(4)], "k int, v int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = increments.stream_files(spark, str(tmp_path / "in"), "k int, v int", 2)
-    state = VersionedTable(spark, str(tmp_path / "state"))
-    increments.run_available(stream, increments.latest_state(state, ["k"], lambda: [F.desc("v")]), str(tmp_path / "c1"))
-    assert rows(state.read(), "k") == [(k, 40 + k) for k in range(4)]
-    merged = VersionedTable(spark, str(tmp_path / "merged"))
-    increments.run_available(stream, increments.upsert_into(merged, ["k"], lambda: [F.desc("v")]), str(tmp_path / "c2"))
-    assert merged.read().count() == 4
-    # nothing new: a second run adds no version
-    before = state.versions().count()
-    increments.run_available(stream, increments.latest_state(state, ["k"], lambda: [F.desc("v")]), str(tmp_path / "c1"))
-    assert state.versions().count() == before
+    state, order = AppendTable(spark, str(tmp_path / "state")), lambda: [F.desc("v")]
+    increments.run_available(stream, increments.latest_state(state, ["k"], order), str(tmp_path / "c1"))
+    assert rows(increments.current_state(state, ["k"], order), "k") == [(k, 40 + k) for k in range(4)]
+    merged = BucketTable(spark, str(tmp_path / "merged"), ["k"], buckets=8)
+    increments.run_available(stream, increments.upsert_into(merged, order), str(tmp_path / "c2"))
+    assert rows(merged.read(), "k") == [(k, 40 + k) for k in range(4)]
+    # nothing new: a second run adds no batch
+    before = state.batches()
+    increments.run_available(stream, increments.latest_state(state, ["k"], order), str(tmp_path / "c1"))
+    assert state.batches() == before
 
 
 def test_damage_behind_the_first_row_group_is_found(spark, tmp_path):

@@ -8,7 +8,7 @@ from ..functions.keys import date_key
 from ..functions.rules import FDI_COLUMNS
 from ..functions.text import normalize_skill
 from ..operators import skills
-from ..operators.merge import VersionedTable
+from ..operators.tables import AppendTable
 from ..plans import dims, gold, macro, silver
 from ..session import checkpoint_dir
 from ..sources import files
@@ -48,9 +48,9 @@ def _(t):
 VOCABULARY = (("python", "tech"), ("sql", "tech"), ("dự án nhóm", "soft"))
 
 
-def enriched(t):
+def enriched(t, columns=silver.SILVER_COLUMNS):
     """Standardised postings whose skill lists come from their requirement texts as well."""
-    return silver.enrich_skills(standardized(t), t.spark.createDataFrame(list(VOCABULARY), "term string, skill_type string"))
+    return silver.enrich_skills(standardized(t).select(*columns), t.spark.createDataFrame(list(VOCABULARY), "term string, skill_type string"))
 
 
 @query(
@@ -98,7 +98,8 @@ def _(t):
       round(count(DISTINCT job_key) / any_value(total), 9) AS coverage FROM long JOIN tot USING (category_name_final) GROUP BY 1, 2""",
 )
 def _(t):
-    demand = gold.skill_by_category(enriched(t), observed_alias(t, [term for term, _ in VOCABULARY]))
+    needed = ("link", "category_name_final", "expired_date_norm", "requirement", "skills_all", "tech_skills", "soft_skills")
+    demand = gold.skill_by_category(enriched(t, needed), observed_alias(t, [term for term, _ in VOCABULARY]))
     category = F.broadcast(dims.literal_dim(t.spark, "category").select("category_key", "category_name"))
     named = demand.join(category, "category_key")
     return named.select("category_name", "skill_key", "job_count", F.round("coverage", 9).alias("coverage"))
@@ -352,7 +353,7 @@ def _stream(t, columns=("event_id", "ts", "user_id", "event_type", "value")):
 @query("r01_r02_idempotent_append", "SELECT event_id, user_id, event_type, value FROM events")
 def _(t):
     root, stream = _stream(t)
-    table = VersionedTable(t.spark, f"{root}/out")
+    table = AppendTable(t.spark, f"{root}/out")
     increments.run_available(stream, increments.idempotent_sink(table), f"{root}/state")
     # a batch that is delivered again must not add rows
     increments.idempotent_sink(table)(table.read(), 0)
@@ -365,16 +366,16 @@ def _(t):
 )
 def _(t):
     root, stream = _stream(t)
-    table = VersionedTable(t.spark, f"{root}/out")
-    upsert = increments.latest_state(table, ["user_id"], lambda: [F.desc("value"), F.asc("event_id")])
-    increments.run_available(stream, upsert, f"{root}/state")
-    return table.read().select("user_id", "event_id", "event_type")
+    table = AppendTable(t.spark, f"{root}/out")
+    order = lambda: [F.desc("value"), F.asc("event_id")]
+    increments.run_available(stream, increments.latest_state(table, ["user_id"], order), f"{root}/state")
+    return increments.current_state(table, ["user_id"], order).select("user_id", "event_id", "event_type")
 
 
 @query("r05_new_links_only", "SELECT user_id, event_type FROM events GROUP BY 1, 2")
 def _(t):
     root, stream = _stream(t)
-    table = VersionedTable(t.spark, f"{root}/out")
+    table = AppendTable(t.spark, f"{root}/out")
     increments.run_available(stream, increments.insert_only_new(table, ["user_id", "event_type"]), f"{root}/state")
     return table.read().select("user_id", "event_type")
 
@@ -382,7 +383,7 @@ def _(t):
 @query("r05_dedupe_within_watermark", "SELECT user_id, event_type FROM events GROUP BY 1, 2")
 def _(t):
     root, stream = _stream(t)
-    table = VersionedTable(t.spark, f"{root}/out")
+    table = AppendTable(t.spark, f"{root}/out")
     first = increments.stream_dedupe(stream, ["user_id", "event_type"], "ts", "60 days")
     increments.run_available(first, increments.idempotent_sink(table), f"{root}/state")
     return table.read().select("user_id", "event_type")
@@ -398,6 +399,11 @@ def _(t):
 def _(t):
     root = f"{checkpoint_dir(t.spark)}/gold-{uuid.uuid4().hex}"
     enriched(t).write.parquet(f"{root}/silver")
+    return gold_batches(t, root)
+
+
+def gold_batches(t, root):
+    """The postings written below ``root``, brought to gold in two batches, each delivered twice."""
     postings = t.spark.read.parquet(f"{root}/silver")
     tables = gold.GoldTables(t.spark, root)
     mapping = t.spark.createDataFrame([], "raw_skill string, canonical_skill string, skill_type string")

@@ -17,10 +17,14 @@ def skill_counts(mapped: DataFrame) -> DataFrame:
 
 
 def skill_coverage(mapped: DataFrame) -> DataFrame:
-    """Demand per category with its share of the category's jobs that name any mapped skill."""
-    totals = mapped.groupBy("category_key").agg(F.countDistinct("job_key").alias("_total"))
-    joined = skill_counts(mapped).join(totals, "category_key")
-    return joined.withColumn("coverage", F.col("job_count") / F.nullif(F.col("_total"), F.lit(0))).drop("_total")
+    """Demand per category with its share of the category's jobs that name any mapped skill, in one aggregation."""
+    keys = ["category_key", "skill_key"]
+    sets = mapped.groupingSets([[F.col(k) for k in keys], [F.col(keys[0])]], *keys)
+    counted = sets.agg(F.countDistinct("job_key").alias("job_count"), F.grouping("skill_key").alias("_whole"))
+    # The counts are one row per category and skill; each category's own row tells its total.
+    total = F.max(F.when(F.col("_whole") == 1, F.col("job_count"))).over(Window.partitionBy("category_key"))
+    shares = counted.withColumn("coverage", F.col("job_count") / F.nullif(total, F.lit(0)))
+    return shares.filter("_whole = 0").select(*keys, "job_count", "coverage")
 
 
 def frequencies(df: DataFrame, by: Sequence[str], form: str | None = None) -> DataFrame:

@@ -1,10 +1,9 @@
-"""Upserts and table versions on Parquet (there is no MERGE for plain files)."""
+"""Upserts on frames (there is no MERGE for plain files)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -95,66 +94,6 @@ def conform_to(df: DataFrame, schema: StructType) -> DataFrame:
     return df.to(schema)
 
 
-class VersionedTable:
-    """A table kept as version folders plus a log of published versions.
-
-    A version is written completely before the log names it, so a job that reads the table and
-    writes it back, or a batch that is run again, never sees a half-written state. Appends add
-    a folder; replacing versions start the table anew. Older folders stay until retention drops them.
-    """
-
-    LOG = "seq bigint, version string, mode string, committed_at timestamp"
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def versions(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.LOG).parquet(f"{self.path}/_versions")
-        except AnalysisException:
-            return empty_table(self.spark, self.LOG)
-
-    def current(self) -> list[str]:
-        """Version folders that make up the table now, oldest first."""
-        log = self.versions()
-        start = log.filter(F.col("mode") == "replace").agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
-        live = log.filter(F.col("seq") >= start).orderBy("seq").select("version").collect()
-        return [row.version for row in live]
-
-    def exists(self) -> bool:
-        return bool(self.current())
-
-    def has(self, version: str) -> bool:
-        return not self.versions().filter(F.col("version") == version).isEmpty()
-
-    def read(self, schema: StructType | str | None = None) -> DataFrame:
-        folders = self.current()
-        if folders:
-            return self.spark.read.parquet(*[f"{self.path}/{v}" for v in folders])
-        if schema is None:
-            raise FileNotFoundError(self.path)
-        return empty_table(self.spark, schema)
-
-    def _publish(self, df: DataFrame, version: str, mode: str, partition_by: Sequence[str]) -> None:
-        if self.has(version):
-            return
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/{version}")
-        seq = self.versions().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
-        entry = self.spark.range(1).select(
-            F.lit(seq).cast("bigint").alias("seq"), F.lit(version).alias("version"), F.lit(mode).alias("mode"),
-            F.current_timestamp().alias("committed_at"),
-        )
-        entry.write.mode("append").parquet(f"{self.path}/_versions")
-
-    def write(self, df: DataFrame, version: str, partition_by: Sequence[str] = ()) -> None:
-        """Publish ``df`` as the whole table; publishing a known version again changes nothing."""
-        self._publish(df, version, "replace", partition_by)
-
-    def append(self, df: DataFrame, version: str, partition_by: Sequence[str] = ()) -> None:
-        """Publish ``df`` as additional rows; the rows that are there are not rewritten."""
-        self._publish(df, version, "append", partition_by)
-
-
 def compaction_files(total_bytes: int, target_bytes: int = 134_217_728) -> int:
     return max(1, -(-total_bytes // target_bytes))
 

@@ -46,3 +46,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that lost executors do not replay (or reorder) earlier stages."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    system, target = _file_system(spark, path)
+    return [f.getPath().getName() for f in system.listStatus(target)] if system.exists(target) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.mkdirs(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
