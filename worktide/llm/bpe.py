@@ -26,7 +26,8 @@ from .common import slices
 
 NO_RANK = 1 << 40
 SCAN_LIMIT = 64
-CACHED_WORDS = 400_000
+#: The tables of runs and words are emptied before a batch when they take more than this.
+CACHED_BYTES = 48 << 20
 #: Control characters that str.split() takes for white space and the word pattern does not.
 UNSPLIT = re.compile("[\x1c-\x1f]")
 
@@ -46,16 +47,32 @@ def byte_symbols() -> list[str]:
 
 
 class Table:
-    """Ids of strings, all in one array."""
+    """Ids of strings, all in one array that grows by doubling."""
 
     def __init__(self):
         self.rows: dict[str, int] = {}
-        self.flat, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.start, self.size = np.zeros(1024, np.int32), np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.used, self.text_bytes = 0, 0
+
+    @property
+    def bytes(self) -> int:
+        """About what the strings, their entries and the ids take."""
+        return self.text_bytes + 120 * len(self.rows) + 4 * self.used
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        if size <= len(array):
+            return array
+        return np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
 
     def add(self, names: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
-        self.rows.update(zip(names, range(len(self.start), len(self.start) + len(names)), strict=True))
-        self.start = np.append(self.start, len(self.flat) + np.cumsum(sizes) - sizes)
-        self.size, self.flat = np.append(self.size, sizes), np.append(self.flat, flat)
+        before, after, end = len(self.rows), len(self.rows) + len(names), self.used + len(flat)
+        self.rows.update(zip(names, range(before, after), strict=True))
+        self.start, self.size, self.flat = self._room(self.start, after), self._room(self.size, after), self._room(self.flat, end)
+        self.start[before:after], self.size[before:after] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.flat[self.used:end] = flat
+        self.used = end
+        self.text_bytes += sum(map(len, names))
 
     def take(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the given strings behind one another, and how many each has."""
@@ -193,7 +210,7 @@ class WordBpe:
 
     def _learn(self, runs: set[str]) -> None:
         """Put the ids of the given runs into the tables, which are emptied first if they are full."""
-        if max(len(self.runs.rows), len(self.words.rows)) > CACHED_WORDS:
+        if self.runs.bytes + self.words.bytes > CACHED_BYTES:
             self.runs, self.words = Table(), Table()
         new = list(runs - self.runs.rows.keys())
         if not new:

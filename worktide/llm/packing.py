@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from ..operators.prefix import ordered_prefix
 from ..session import cut_lineage
-from .bpe import encode_column
+from .bpe import WordBpe
+from .common import slices
 
 END = 1
+BATCH_BYTES = 2 << 20
 
 
 def patterns(histogram: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
@@ -154,17 +156,24 @@ def plan(histogram: dict[int, int], capacity: int) -> Plan:
     return Plan(table[:, 0], table[:, 1], table[:, 2], base)
 
 
-def pieces(df: DataFrame, key: str, ids: str, capacity: int) -> DataFrame:
-    """key, piece, start, length and ids_crc32 of the documents' ids with the end mark, cut only beyond ``capacity``."""
+def pieces(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = 4096) -> DataFrame:
+    """key, piece, start, length and ids_crc32 of the texts' ids with the end mark, cut only beyond ``capacity``.
+
+    A task encodes a few MB of text at a time and returns no ids, only what is known of the pieces.
+    """
+    model = df.sparkSession.sparkContext.broadcast(WordBpe.load(path))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for at, value in enumerate(batch.column("_ids")):
-                data = np.append(value.values.to_numpy() if value.is_valid else [], END).astype("<u4")
-                for i, start in enumerate(range(0, len(data), capacity)):
-                    part = data[start:start + capacity]
-                    rows.append((at, i, start, len(part), zlib.crc32(part.tobytes())))
+        bpe, end = model.value, np.array([END], "<u4")
+        for batch in slices(batches, "_t", BATCH_BYTES):
+            ids, ends = bpe.encode_batch(batch.column("_t").to_pylist())
+            rows, ids = [], ids.astype("<u4")
+            for at, (first, last) in enumerate(zip(ends.tolist(), ends[1:].tolist(), strict=False)):
+                for i, start in enumerate(range(first, last + 1, capacity)):
+                    part = ids[start:min(start + capacity, last)]
+                    ends_here = start + capacity > last
+                    crc = zlib.crc32(end, zlib.crc32(part)) if ends_here else zlib.crc32(part)
+                    rows.append((at, i, start - first, len(part) + ends_here, crc))
             table = np.array(rows, np.int64).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_k").take(pa.array(table[:, 0])), pa.array(table[:, 1].astype(np.int32)), *(pa.array(table[:, i]) for i in (2, 3, 4))],
@@ -172,17 +181,17 @@ def pieces(df: DataFrame, key: str, ids: str, capacity: int) -> DataFrame:
             )
 
     kind = df.schema[key].dataType.simpleString()
-    source = df.select(F.col(key).alias("_k"), F.col(ids).alias("_ids"))
+    source = df.select(F.col(key).alias("_k"), F.col(text).alias("_t"))
     return source.mapInArrow(cut, f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = 4096) -> DataFrame:
     """One row per piece: key, piece, start, length, ids_crc32, sequence_id, offset.
 
-    A null or empty text is its end mark alone. Repeated rows and null keys are packed like any others.
-    An empty table gives no rows. The pieces are written once, as their ranks and the plan must agree.
+    A null or empty text is its end mark alone, a very long one as many pieces as it needs. Repeated rows and null keys are
+    packed like any others; other columns are not read, whatever their names. An empty table gives no rows. The pieces are written once, as their ranks and the plan must agree.
     """
-    cut = cut_lineage(pieces(encode_column(df, path, text, keep=(key,)), key, "ids", capacity))
+    cut = cut_lineage(pieces(df, path, key, text, capacity))
     sizes = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity rows
     order = [F.col(key), F.col("piece"), F.col("ids_crc32")]
     ranked = ordered_prefix(cut, ["length"], order, rank="_rank")
