@@ -15,7 +15,7 @@ from .postings import spread_lookup
 
 def cells_top_k(
     left: DataFrame, right: DataFrame, left_id: str, right_id: str, cell: str, score: Score, k: int,
-    digits: int = 6, count: str | None = None, left_block: int = 4096, right_block: int = 16384,
+    digits: int = 6, count: str | None = None, left_block: int = 1024, right_block: int = 8192,
 ) -> DataFrame:
     """(left_id, right_id, score[, count]): the ``k`` best finite scores of every left row among the right rows of its cells.
 
