@@ -7,14 +7,16 @@ a solver, one panel at a time.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
+from math import ceil, comb, log, pi
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .windows import difference, lag_features, top_k
+from .windows import _panel, difference, lag_features, top_k, undifference
 
 # MacKinnon (2010) response surface of the 5 % critical value, constant term, one series.
 ADF_5_PERCENT = (-2.86154, -2.8903, -4.234, -40.040)
@@ -96,36 +98,142 @@ def _per_panel(grams: DataFrame, panel: Sequence[str], solve, extra: str) -> Dat
     return grams.select(*panel, "n", "g").mapInPandas(run, f"{keys}, {extra}")
 
 
-def adf(df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], lags: int = 1) -> DataFrame:
-    """(panel, series, statistic, critical, stationary): unit-root test with a constant and ``lags`` lags.
+@dataclass
+class LagSums:
+    """Sums of products of a panel's rows with its rows ``h`` steps before, for every ``h``, and its first and last rows.
+
+    The sums of any regression on lags, over any of its possible samples, are these less what lies at the edges.
+    """
+
+    n: int
+    totals: np.ndarray  # by column
+    bands: np.ndarray  # h, column, column of the earlier row
+    head: np.ndarray  # the first rows, as many as there are bands behind the first
+    tail: np.ndarray
+
+    def gram(self, p: int, start: int | None = None) -> tuple[int, np.ndarray]:
+        """Rows and sums of products of (1, z_t, z_t-1, ..., z_t-p) over all t behind the first ``start`` rows, by default ``p``."""
+        start = p if start is None else start
+        k, n = len(self.totals), self.n
+        out = np.zeros((1 + k * (p + 1), 1 + k * (p + 1)))
+        out[0, 0] = n - start
+        last = n - len(self.tail)
+        for i in range(p + 1):
+            at = slice(1 + k * i, 1 + k * (i + 1))
+            out[0, at] = out[at, 0] = self.totals - self.head[:start - i].sum(axis=0) - self.tail[n - i - last:].sum(axis=0)
+            for j in range(i, p + 1):
+                h = j - i
+                front = self.head[h:start - i].T @ self.head[:max(start - i - h, 0)] if start - i > h else 0.0
+                back = self.tail[n - i - last:].T @ self.tail[n - i - h - last:n - h - last] if i else 0.0
+                to = slice(1 + k * j, 1 + k * (j + 1))
+                out[at, to] = self.bands[h] - front - back
+                out[to, at] = out[at, to].T
+        return n - start, out
+
+
+def lag_sums(df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], pmax: int) -> DataFrame:
+    """One row per panel with what ``LagSums`` holds, from one scan; the columns are filled, without nulls."""
+    window, whole = _panel(panel, time), Window.partitionBy(*panel)
+    values = [F.col(c).cast("double") for c in columns]
+    lags = {f"_l{h}_{i}": F.lag(v, h).over(window) for h in range(pmax + 1) for i, v in enumerate(values)}
+    rows = df.withColumns({**lags, "_seq": F.row_number().over(window), "_size": F.count(F.lit(1)).over(whole)})
+    k = len(columns)
+    bands = [F.coalesce(F.sum(F.col(f"_l0_{i}") * F.col(f"_l{h}_{j}")), F.lit(0.0)) for h in range(pmax + 1) for i in range(k) for j in range(k)]
+    row = F.struct("_seq", F.array(*[F.col(f"_l0_{i}") for i in range(k)]).alias("v"))
+
+    def edge(inside: Column, name: str) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.when(inside, row))), lambda e: e["v"]).alias(name)
+
+    return rows.groupBy(*panel).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(f"_l0_{i}") for i in range(k)]).alias("totals"), F.array(*bands).alias("bands"),
+        edge(F.col("_seq") <= pmax, "head"), edge(F.col("_seq") > F.col("_size") - pmax, "tail"),
+    )
+
+
+def _each_panel(sums: DataFrame, panel: Sequence[str], pmax: int, solve: Callable[[LagSums], Iterable[tuple]], extra: str) -> DataFrame:
+    """The rows that ``solve`` gives for the sums of each panel, in columns ``extra``."""
+    keys = ", ".join(f"`{p}` {sums.schema[p].dataType.simpleString()}" for p in panel)
+    names = [part.split()[0] for part in extra.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                totals = np.asarray(row.totals, dtype=float)
+                edges = [np.array([list(v) for v in e], dtype=float).reshape(-1, len(totals)) for e in (row.head, row.tail)]
+                found = LagSums(int(row.n), totals, np.asarray(row.bands, dtype=float).reshape(pmax + 1, len(totals), -1), *edges)
+                key = [getattr(row, p) for p in panel]
+                out += [[*key, *values] for values in solve(found)]
+            yield pd.DataFrame(out, columns=[*panel, *names])
+
+    return sums.mapInPandas(run, f"{keys}, {extra}")
+
+
+def _usual_lags(n: int) -> int:
+    """How many lags of the change a unit-root test tries: a rule by the length of the series."""
+    return max(0, min(n // 2 - 2, ceil(12 * (n / 100) ** 0.25)))
+
+
+def _test_sums(sums: LagSums, lags: int, start: int) -> tuple[int, np.ndarray]:
+    """Sums of products of (1, level before, ``lags`` earlier changes, change) over the rows behind ``start``."""
+    n, g = sums.gram(lags + 1, start)
+    turn = np.zeros((lags + 3, lags + 3))
+    turn[0, 0] = turn[1, 2] = 1
+    for i in range(lags + 1):  # the change i steps before
+        at = 2 + i - 1 if i else lags + 2
+        turn[at, 1 + i], turn[at, 2 + i] = 1, -1
+    return n, turn @ g @ turn.T
+
+
+def best_lags(sums: LagSums, most: int) -> int:
+    """The number of lags of smallest information criterion, all tried on the rows that have ``most`` of them.
+
+    The regressions are nested: one elimination, column by column, leaves the residual of each on its way.
+    """
+    n, g = _test_sums(sums, most, most + 1)
+    found = []
+    for column in range(most + 2):
+        pivot = g[column, column]
+        if pivot > 1e-12 * max(1.0, abs(g[0, 0])):
+            g = g - np.outer(g[:, column], g[column]) / pivot
+        if column:
+            rss = max(float(g[-1, -1]), 1e-300)
+            found.append((n * (log(2 * pi) + 1 + log(rss / n)) + 2 * (column + 1), column - 1))
+    return min(found)[1]
+
+
+def adf(df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], lags: int | None = None) -> DataFrame:
+    """(panel, series, lags, statistic, critical, stationary): unit-root test with a constant and lags of the change.
 
     The change is regressed on the previous level and earlier changes; the t statistic of the level is
-    compared with the published 5 % critical value.
+    compared with the published 5 % critical value. Without ``lags`` their number is chosen for every series by
+    information criterion, up to a rule by its length, and the test then uses all rows that have so many.
     """
     entries = F.array(*[F.struct(F.lit(c).alias("series"), F.col(c).cast("double").alias("y")) for c in columns])
     long = df.select(*panel, time, F.inline(entries)).filter(F.col("y").isNotNull())
     keys = [*panel, "series"]
-    level = lag_features(long, keys, time, ["y"], 1).withColumn("dy", F.col("y") - F.col("y_lag1"))
-    names = ["dy", "y_lag1"]
-    if lags:
-        level = lag_features(level, keys, time, ["dy"], lags)
-        names += [f"dy_lag{i}" for i in range(1, lags + 1)]
-
-    def solve(n: int, g: np.ndarray):
-        xs = [0, *range(2, g.shape[0])]
-        beta, rss, inverse = _regress(g, xs, 1)
-        free = n - len(xs)
+    if lags is None:
+        longest = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    bands = 1 + (_usual_lags(longest) if lags is None else lags)
+
+    def solve(sums: LagSums):
+        most = best_lags(sums, _usual_lags(sums.n)) if lags is None and sums.n > 3 else (lags or 0)
+        if sums.n - most - 1 < 1:
+            return
+        n, g = _test_sums(sums, most, most + 1)
+        beta, rss, inverse = _regress(g, list(range(most + 2)), most + 2)
+        free = n - most - 2
         error = (rss / free * inverse[1, 1]) ** 0.5 if free > 0 else 0.0
         stat = float(beta[1] / error) if error > 0 else float("-inf")
         b0, b1, b2, b3 = ADF_5_PERCENT
         critical = b0 + b1 / n + b2 / n**2 + b3 / n**3
-        yield stat, critical, bool(stat < critical)
+        yield most, stat, critical, bool(stat < critical)
 
-    return _per_panel(gram(level, keys, names), keys, solve, "statistic double, critical double, stationary boolean")
+    return _each_panel(lag_sums(long, keys, time, ["y"], bands), keys, bands, solve, "lags int, statistic double, critical double, stationary boolean")
 
 
 def make_stationary(
-    df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], lags: int = 1
+    df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], lags: int | None = None
 ) -> tuple[DataFrame, int, DataFrame]:
     """Difference all series (at least once) until each one passes the unit-root test: rows, order, test results.
 
@@ -139,7 +247,7 @@ def make_stationary(
         tested = adf(changed, panel, time, columns, lags)
         failed = tested.filter(~F.col("stationary")).select(*panel).distinct()
         # A test with a constant, a level and ``lags`` changes needs one row more than it has coefficients.
-        rows = changed.groupBy(*panel).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 2 * lags + 4)
+        rows = changed.groupBy(*panel).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 2 * (lags or 1) + 4)
         open_panels = failed.join(rows, list(panel), "left_semi") if panel else failed.crossJoin(rows.limit(1))
         if open_panels.isEmpty():
             return changed, order, tested
@@ -166,35 +274,27 @@ def fit_var(df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[st
 
 
 def lag_sweep(df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], pmax: int) -> DataFrame:
-    """(panel, lag, aic, bic, hqic) of VAR(0..pmax), from one pass: a VAR(p) reads a corner of the same sums."""
-    k, lagged = len(columns), _lagged(columns, pmax)
-    # Each lag order uses every row that has its own full history, so the sums are kept per order.
-    base = df
-    frames = []
-    for p in range(pmax + 1):
-        rows = lag_features(base, panel, time, columns, p) if p else base
-        frames.append(gram(rows, panel, [*columns, *lagged[: k * p]]).withColumn("lag", F.lit(p)))
-    sums = frames[0]
-    for frame in frames[1:]:
-        sums = sums.unionByName(frame)
-
-    def solve(n: int, g: np.ndarray):
-        xs = [0, *range(1 + k, g.shape[0])]
-        xx, xy, yy = g[np.ix_(xs, xs)], g[np.ix_(xs, range(1, 1 + k))], g[1 : 1 + k, 1 : 1 + k]
-        sigma = (yy - xy.T @ np.linalg.pinv(xx, hermitian=True) @ xy) / n
-        sign, logdet = np.linalg.slogdet(sigma)
-        free = k * len(xs)
-        base_ic = float(logdet) if sign > 0 else float("-inf")
-        yield (
-            base_ic + 2 * free / n, base_ic + np.log(n) * free / n, base_ic + 2 * np.log(np.log(n)) * free / n
-        )
+    """(panel, lag, aic, bic, hqic) of VAR(0..pmax), from one scan; each order uses every row that has its own full history."""
+    k = len(columns)
 
-    return _per_panel(sums, [*panel, "lag"], solve, "aic double, bic double, hqic double")
+    def solve(sums: LagSums):
+        for p in range(min(pmax, sums.n - 1) + 1):
+            n, g = sums.gram(p)
+            xs = [0, *range(1 + k, g.shape[0])]
+            xx, xy, yy = g[np.ix_(xs, xs)], g[np.ix_(xs, range(1, 1 + k))], g[1 : 1 + k, 1 : 1 + k]
+            sigma = (yy - xy.T @ np.linalg.pinv(xx, hermitian=True) @ xy) / n
+            sign, logdet = np.linalg.slogdet(sigma)
+            free = k * len(xs)
+            base = float(logdet) if sign > 0 else float("-inf")
+            twice = 2 * np.log(np.log(n)) if n > 1 else 0.0
+            yield p, base + 2 * free / n, base + np.log(n) * free / n, base + twice * free / n
+
+    return _each_panel(lag_sums(df, panel, time, columns, pmax), panel, pmax, solve, "lag int, aic double, bic double, hqic double")
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
     """Regularised incomplete beta by its continued fraction."""
-    from math import exp, lgamma, log
+    from math import exp, lgamma
 
     if x <= 0 or x >= 1:
         return min(max(x, 0.0), 1.0)
@@ -218,41 +318,88 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
 def granger(df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], p: int) -> DataFrame:
     """(panel, cause, effect, lag, f, df_num, df_den, p_value): do lags of cause help predict effect.
 
-    All lags 1..p are reported; the smallest p-value per pair is the causality matrix.
+    All lags 1..p are reported, from one scan; ``causality`` takes the smallest p-value per pair.
     """
-    frames = []
-    for lag in range(1, p + 1):
-        rows = lag_features(df, panel, time, columns, lag)
-        pairs = F.explode(F.array(*[
-            F.struct(
-                F.lit(c).alias("cause"), F.lit(e).alias("effect"), F.col(e).cast("double").alias("y"),
-                F.array(*[F.col(f"{e}_lag{i}").cast("double") for i in range(1, lag + 1)]).alias("own"),
-                F.array(*[F.col(f"{c}_lag{i}").cast("double") for i in range(1, lag + 1)]).alias("other"),
-            )
-            for c in columns for e in columns if c != e
-        ]))
-        long = rows.select(*panel, pairs.alias("v")).select(
-            *panel, "v.cause", "v.effect", "v.y",
-            *[F.col("v.own")[i].alias(f"own{i}") for i in range(lag)],
-            *[F.col("v.other")[i].alias(f"other{i}") for i in range(lag)],
-        )
-        names = ["y", *[f"own{i}" for i in range(lag)], *[f"other{i}" for i in range(lag)]]
-        frames.append(gram(long, [*panel, "cause", "effect"], names).withColumn("lag", F.lit(lag)))
-    sums = frames[0]
-    for frame in frames[1:]:
-        sums = sums.unionByName(frame)
-
-    def solve(n: int, g: np.ndarray):
-        lag = (g.shape[0] - 2) // 2
-        _, short, _ = _regress(g, [0, *range(2, 2 + lag)], 1)
-        _, full, _ = _regress(g, [0, *range(2, g.shape[0])], 1)
-        free = n - 2 * lag - 1
-        f = ((short - full) / lag) / (full / free) if full > 0 and free > 0 else float("nan")
-        p_value = _beta_fraction(free / 2, lag / 2, free / (free + lag * f)) if f == f and f >= 0 else float("nan")
-        yield float(f), lag, free, float(p_value)
-
-    keys = [*panel, "cause", "effect", "lag"]
-    return _per_panel(sums, keys, solve, "f double, df_num int, df_den int, p_value double")
+    k = len(columns)
+
+    def solve(sums: LagSums):
+        for lag in range(1, min(p, sums.n - 1) + 1):
+            n, g = sums.gram(lag)
+            free = n - 2 * lag - 1
+            for c, cause in enumerate(columns):
+                for e, effect in enumerate(columns):
+                    if c == e:
+                        continue
+                    own, other = ([1 + k * i + x for i in range(1, lag + 1)] for x in (e, c))
+                    _, short, _ = _regress(g, [0, *own], 1 + e)
+                    _, full, _ = _regress(g, [0, *own, *other], 1 + e)
+                    f = ((short - full) / lag) / (full / free) if full > 0 and free > 0 else float("nan")
+                    p_value = _beta_fraction(free / 2, lag / 2, free / (free + lag * f)) if f == f and f >= 0 else float("nan")
+                    yield cause, effect, lag, float(f), lag, free, float(p_value)
+
+    extra = "cause string, effect string, lag int, f double, df_num int, df_den int, p_value double"
+    return _each_panel(lag_sums(df, panel, time, columns, p), panel, p, solve, extra)
+
+
+def causality(tested: DataFrame, panel: Sequence[str]) -> DataFrame:
+    """(panel, effect, cause, p_value): the causality matrix, with the smallest p-value over all lags."""
+    usable = F.when(~F.isnan("p_value"), F.col("p_value"))
+    return tested.groupBy(*panel, "effect", "cause").agg(F.min(usable).alias("p_value"))
+
+
+def forecast_sweep(
+    df: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], lags: Sequence[int], steps: int
+) -> DataFrame:
+    """(panel, lag, step, columns...): recursive forecasts of a VAR of each order, fitted and begun from one scan."""
+    k, pmax = len(columns), max(lags)
+
+    def solve(sums: LagSums):
+        for p in lags:
+            if sums.n <= p:
+                continue
+            _, g = sums.gram(p)
+            xs = [0, *range(1 + k, g.shape[0])]
+            weights = np.linalg.pinv(g[np.ix_(xs, xs)], hermitian=True) @ g[np.ix_(xs, range(1, 1 + k))]
+            recent = list(sums.tail[::-1][:p])
+            for step in range(1, steps + 1):
+                value = np.concatenate([[1.0], *recent[:p]]) @ weights
+                yield p, step, *map(float, value)
+                recent.insert(0, value)
+
+    extra = "lag int, step int, " + ", ".join(f"{c} double" for c in columns)
+    return _each_panel(lag_sums(df, panel, time, columns, pmax), panel, pmax, solve, extra)
+
+
+def forecast_levels(
+    train: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], lags: Sequence[int], steps: int, order: int = 1
+) -> DataFrame:
+    """(panel, lag, step, columns...): forecasts in the units of ``train``, of a VAR on its scaled and ``order`` times differenced rows.
+
+    The way back is taken in reverse: running sums from the last differences and the last level of the scaled rows, then the
+    training range.
+    """
+    fitted = fit_scale(train, panel, columns)
+    scaled = scale(train.select(*panel, time, *columns), fitted, panel, columns)
+    ahead = forecast_sweep(difference(scaled, panel, time, columns, order), panel, time, columns, lags, steps)
+    last = top_k(scaled, panel, [F.desc(time)], order, rank="_back")
+    bases = []
+    for c in columns:
+        back = [F.max(F.when(F.col("_back") == i + 1, F.col(c).cast("double"))) for i in range(order)]
+        bases += [sum(((-1) ** i * comb(j, i) * back[i] for i in range(j + 1)), F.lit(0.0)).alias(f"{c}_d{j}") for j in range(order)]
+    ends = last.groupBy(*panel).agg(*bases)
+    restored = undifference(ahead.join(ends, list(panel)), [*panel, "lag"], "step", columns, [f"d{j}" for j in reversed(range(order))])
+    return unscale(restored.select(*ahead.columns), fitted, panel, columns)
+
+
+def errors_by_lag(
+    train: DataFrame, test: DataFrame, panel: Sequence[str], time: str, columns: Sequence[str], lags: Sequence[int], order: int = 1
+) -> DataFrame:
+    """(panel, lag, series, mse, rmse, mae) of forecasts of each order against the rows of ``test``, and their ``total``."""
+    steps = test.groupBy(*panel).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    ahead = forecast_levels(train, panel, time, columns, lags, steps, order).withColumnsRenamed({c: f"{c}_ahead" for c in columns})
+    numbered = test.withColumn("step", F.row_number().over(_panel(panel, time)))
+    joined = numbered.join(ahead, [*panel, "step"])
+    return forecast_error(joined, [*panel, "lag"], {c: (c, f"{c}_ahead") for c in columns})
 
 
 def forecast(
