@@ -14,7 +14,7 @@ from ..session import checkpoint_dir
 from ..sources import files
 from ..streaming import increments
 from .base import query
-from .postings import SILVER_SQL, bronze
+from .postings import PLACES_SQL, SILVER_SQL, bronze
 
 RUN_DAY = "2025-01-15"
 
@@ -461,3 +461,83 @@ def _(t):
     sums.groupBy(F.col("time").alias("year")).agg(F.to_json(F.collect_list(records)).alias("value")).write.partitionBy("year").text(f"{root}/in")
     found = files.read_indicator_json(t.spark, f"{root}/in")
     return found.select(F.col("`sex.label`").alias("sex"), F.col("time").cast("int").alias("year"), F.col("obs_value").alias("value"))
+
+
+# -- S08, S09: period tables in UTF-16 ---------------------------------------------------------------------
+
+
+@query(
+    "s08_periods_in_utf16",
+    """SELECT 'Ngành ' || l_linenumber AS industry, CAST((month(l_shipdate) - 1) // 3 + 1 AS INT) AS quarter, CAST(month(l_shipdate) AS INT) AS month, CAST(year(l_shipdate) AS INT) AS year,
+      CAST(sum(l_quantity) AS DOUBLE) AS value FROM lineitem WHERE l_linenumber < 5 GROUP BY ALL""",
+)
+def _(t):
+    """Monthly sums as a wide table, a column for each period, written as tab-separated UTF-16 and read back as rows."""
+    root = f"{checkpoint_dir(t.spark)}/utf16-{uuid.uuid4().hex}"
+    label = F.concat(F.lit("T"), F.month("l_shipdate"), F.lit(" "), F.year("l_shipdate"))
+    sums = t.lineitem.filter("l_linenumber < 5").groupBy(F.concat(F.lit("Ngành "), "l_linenumber").alias("Ngành"), label.alias("period")).agg(F.sum("l_quantity").alias("v"))
+    wide = sums.groupBy("Ngành").pivot("period").agg(F.format_number(F.first(F.col("v").cast("double")), 2))
+    wide.coalesce(1).write.csv(f"{root}/in", sep="\t", header=True, encoding="UTF-16", nullValue="-", quoteAll=True)
+    long = files.to_long(files.read_period_tsv(t.spark, f"{root}/in"))
+    return long.filter("value IS NOT NULL").select("industry", *[F.col(c).cast("int").alias(c) for c in ("quarter", "month", "year")], "value")
+
+
+@query(
+    "s09_two_header_rows_in_utf16",
+    """SELECT CAST((month(o_orderdate) - 1) // 3 + 1 AS INT) AS quarter, CAST(month(o_orderdate) AS INT) AS month, CAST(year(o_orderdate) AS INT) AS year,
+      CAST(count(*) AS DOUBLE) AS fdi_disbursed_value, CAST(sum(CASE WHEN o_orderpriority LIKE '1%' THEN 1 ELSE 0 END) AS DOUBLE) AS fdi_disbursed_yoy, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1234.5 END) AS DOUBLE) AS fdi_share_purchase_yoy
+    FROM orders GROUP BY ALL""",
+)
+def _(t):
+    """Monthly figures below two header rows, the first with line breaks in its cells; columns are named by their place."""
+    root = f"{checkpoint_dir(t.spark)}/utf16-{uuid.uuid4().hex}"
+    month = F.concat(F.lit("T"), F.month("o_orderdate"), F.lit(" "), F.year("o_orderdate")).alias("c0")
+    urgent, closed = F.sum((F.col("o_orderpriority").startswith("1")).cast("int")), F.sum(F.when(F.col("o_orderstatus") == "F", 1234.5))
+    text = lambda c, i: F.format_number(c.cast("double"), 2).alias(f"c{i}")
+    rows = t.orders.groupBy(month).agg(
+        text(F.count(F.lit(1)), 1), text(urgent, 2), *[F.lit("-").alias(f"c{i}") for i in range(3, 8)], F.coalesce(text(closed, 8), F.lit("-")).alias("c8")
+    )
+    heads = t.spark.createDataFrame([[0, *[f"Vốn {i}\n(triệu USD)" for i in range(9)]], [1, "", *["Giá trị", "YoY"] * 4]], "o int, " + ", ".join(f"c{i} string" for i in range(9)))
+    ordered = heads.unionByName(rows.withColumn("o", F.lit(2))).coalesce(1).sortWithinPartitions("o").drop("o")
+    ordered.write.csv(f"{root}/in", sep="\t", encoding="UTF-16", quoteAll=True)
+    found = files.fdi_long(files.read_period_tsv(t.spark, f"{root}/in", header_rows=2, names=files.FDI_NAMES))
+    return found.select(*[F.col(c).cast("int").alias(c) for c in ("quarter", "month", "year")], "fdi_disbursed_value", "fdi_disbursed_yoy", "fdi_share_purchase_yoy")
+
+
+# -- D: code lists row by row ------------------------------------------------------------------------------
+
+_CODES = """codes(dimension, no, code, name) AS (VALUES ('currency', 1, 'VND', 'Việt Nam Đồng'), ('currency', 2, 'USD', 'Đô la Mỹ'),
+    ('salary_type', 1, 'range', 'Khoảng lương (min - max)'), ('salary_type', 2, 'single', 'Mức lương cố định'), ('salary_type', 3, 'at_least', 'Từ mức này trở lên'),
+    ('salary_type', 4, 'upto', 'Lên tới / tối đa mức này'), ('salary_type', 5, 'negotiable', 'Lương thương lượng'),
+    ('experience_type', 1, 'none', 'Không yêu cầu kinh nghiệm'), ('experience_type', 2, 'single', 'Số năm kinh nghiệm'), ('experience_type', 3, 'range', 'Khoảng kinh nghiệm'),
+    ('experience_type', 4, 'at_least', 'Ít nhất X năm kinh nghiệm'), ('experience_type', 5, 'upto', 'Tối đa X năm kinh nghiệm'))"""
+
+
+@query(
+    "d06_code_lists_with_postings",
+    f"""WITH {SILVER_SQL}, {_CODES}, seen AS (SELECT 'currency' AS dimension, currency AS code FROM silver UNION ALL SELECT 'salary_type', salary_type FROM silver UNION ALL SELECT 'experience_type', experience_type FROM silver),
+    n AS (SELECT dimension, code, count(*) AS n FROM seen GROUP BY 1, 2) SELECT dimension, no, codes.code, name, sha256(codes.code) AS key, CAST(coalesce(n, 0) AS BIGINT) AS postings FROM codes LEFT JOIN n USING (dimension, code)""",
+)
+def _(t):
+    """Every code of three lists with its name, key and the postings that carry it."""
+    names = ("currency", "salary_type", "experience_type")
+    listed = [
+        dims.literal_dim(t.spark, n).select(F.lit(n).alias("dimension"), F.col(f"{n}_no").alias("no"), F.col(f"{n}_code").alias("code"), F.col(f"{n}_name").alias("name"), F.col(f"{n}_key").alias("key"))
+        for n in names
+    ]
+    seen = skills.stack_arrays(standardized(t).select(*[F.array(n).alias(n) for n in names]), [], {n: n for n in names})
+    counts = seen.groupBy(F.col("skill_type").alias("dimension"), F.col("raw_skill").alias("code")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = listed[0].unionByName(listed[1]).unionByName(listed[2]).join(counts, ["dimension", "code"], "left")
+    return rows.select("dimension", "no", "code", "name", "key", F.coalesce("_n", F.lit(0)).alias("postings"))
+
+
+@query(
+    "d02_places_with_postings",
+    f"""WITH {SILVER_SQL}, places AS (SELECT unnest({PLACES_SQL}) AS name, generate_subscripts({PLACES_SQL}, 1) AS no), n AS (SELECT location_clean AS name, count(*) AS n FROM silver GROUP BY 1)
+    SELECT CAST(no AS INT) AS no, name, sha256(name) AS key, CAST(coalesce(n, 0) AS BIGINT) AS postings FROM places LEFT JOIN n USING (name)""",
+)
+def _(t):
+    """Every province, and the rest, in list order with its key and postings."""
+    counts = standardized(t).groupBy(F.col("location_clean").alias("province_name")).agg(F.count(F.lit(1)).alias("_n"))
+    places = dims.literal_dim(t.spark, "location").join(counts, "province_name", "left")
+    return places.select(F.col("location_no").alias("no"), F.col("province_name").alias("name"), F.col("location_key").alias("key"), F.coalesce("_n", F.lit(0)).alias("postings"))

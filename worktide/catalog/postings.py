@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import PROVINCES, SECTORS
+from ..functions.rules import OTHER_PLACE, PROVINCES, SECTORS
 from .base import Tables
 
 
@@ -77,6 +77,7 @@ def _sql_list(values) -> str:
     return "[" + ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
+PLACES_SQL = _sql_list((*PROVINCES, OTHER_PLACE))
 _SECTOR_SQL = "CASE " + " ".join(
     f"WHEN s % 3 = {i} THEN {_sql_list([SECTORS[x] for x in names])}[p % 3 + 1]" for i, names in enumerate(EXPECTED_SECTORS.values())
 ) + " END"

@@ -1,11 +1,16 @@
 """Deduplication, windows, merges, joins, filters and aggregates over the given tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse
 from ..operators import aggregates as agg
-from ..operators import filters, joins, merge, skills, windows
+from ..operators import filters, joins, merge, skills, tables, windows
+from ..operators.prefix import ordered_prefix
 from ..plans import dims
+from ..session import checkpoint_dir
+from ..sources import files
 from .base import query
 
 WORDS_SQL = r"unnest(regexp_split_to_array(trim(regexp_replace(text, '[\s\x0b\x85\p{Z}]+', ' ', 'g')), ' ')) AS w"
@@ -701,3 +706,70 @@ def _(t):
     lists = t.spread("documents", "doc_id").select("doc_id", F.split(collapse(F.col("text")), " ").alias("skills"))
     cleaned = agg.drop_rare_singletons(lists, "doc_id", "skills", 2)
     return cleaned.select("doc_id", F.size("skills").cast("bigint").alias("kept"), F.md5(F.array_join("skills", " ")).alias("digest"))
+
+
+# -- S: loads that may be repeated, and a rewrite that is verified ---------------------------------------------
+
+
+def _root(t, name: str) -> str:
+    return f"{checkpoint_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "s10_repeated_partition_loads",
+    """SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(count(*) AS BIGINT) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, CAST(sum(CASE WHEN year(o_orderdate) % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS corrected FROM orders GROUP BY 1""",
+)
+def _(t):
+    """Orders by year; the even years are written again with a mark, twice, and the others stay as they were."""
+    path = _root(t, "loads")
+    rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("year"), F.lit(0).alias("mark"))
+    tables.overwrite_partitions(rows, "year", path)
+    for _ in range(2):
+        tables.overwrite_partitions(rows.filter("year % 2 = 0").withColumn("mark", F.lit(1)), "year", path)
+    return t.spark.read.parquet(path).groupBy(F.col("year").cast("int").alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.sum("mark").alias("corrected")
+    )
+
+
+@query(
+    "s16_static_load_once",
+    """SELECT n_nationkey AS nation_no, n_name, CAST(count(s_suppkey) AS BIGINT) AS suppliers FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1, 2""",
+)
+def _(t):
+    """A dimension that is loaded where it is missing: what a later load brings does not change it."""
+    path = _root(t, "static")
+    nations = t.nation.select(F.col("n_nationkey").alias("nation_no"), "n_name")
+    tables.load_once(nations, path)
+    tables.load_once(nations.withColumn("n_name", F.lit("late")).union(nations), path)
+    loaded = t.spark.read.parquet(path)
+    return loaded.join(t.supplier, F.col("s_nationkey") == F.col("nation_no"), "left").groupBy("nation_no", "n_name").agg(F.count("s_suppkey").alias("suppliers"))
+
+
+@query(
+    "s18_rewritten_and_verified",
+    """WITH n AS (SELECT count(*) AS n FROM orders), c AS (SELECT unnest(['o_orderkey', 'o_custkey', 'o_totalprice', 'o_orderpriority', '*']) AS column_name)
+    SELECT 'rewritten' AS copy, column_name, n AS rows_before, n AS rows_after, true AS ok FROM c, n
+    UNION ALL SELECT 'changed', column_name, n, n, column_name NOT IN ('o_totalprice', '*') FROM c, n
+    UNION ALL SELECT 'shortened', column_name, n, n - 1, false FROM c, n
+    UNION ALL SELECT 'swapped', column_name, n, n, column_name <> '*' FROM c, n""",
+)
+def _(t):
+    """Orders rewritten as one file, and three spoiled copies: one cell changed, one row lost, a column's values dealt to other rows."""
+    root = _root(t, "rewrite")
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+    t.orders.select(*columns).write.parquet(f"{root}/a")
+    before = t.spark.read.parquet(f"{root}/a")
+    last = before.agg(F.max("o_orderkey")).scalar()
+    one = F.col("o_orderkey") == last
+    other = before.select((-F.col("o_orderkey")).alias("_k"), "o_custkey")
+    turned = ordered_prefix(before.drop("o_custkey"), [], [F.asc("o_orderkey")], rank="_n").join(
+        ordered_prefix(other, [], [F.asc("_k")], rank="_n"), "_n"
+    )
+    copies = {
+        "changed": before.withColumn("o_totalprice", F.when(one, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))),
+        "shortened": before.filter(~one), "swapped": turned.select(*columns),
+    }
+    found = files.rewrite_and_verify(t.spark, f"{root}/a", f"{root}/b", files=1).withColumn("copy", F.lit("rewritten"))
+    for name, copy in copies.items():
+        found = found.unionByName(files.compare_content(before, copy).withColumn("copy", F.lit(name)))
+    return found.select("copy", F.col("column").alias("column_name"), "rows_before", "rows_after", "ok")

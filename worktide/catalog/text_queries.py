@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from ..functions import classify, keys, parsing, text
 from ..functions.rules import DEFAULT_SECTOR, SECTOR_RULES
 from ..operators import joins, skills
+from ..operators.prefix import ordered_prefix
+from ..operators.rules import sector_by_keywords
 from ..plans.silver import province
 from .base import query
 from .postings import SILVER_SQL, bronze
@@ -168,6 +170,26 @@ def _(t):
     return t.part.select("p_partkey", found["group"].alias("industry"), found["status"].alias("status"))
 
 
+@query(
+    "x12_industry_rules_by_table",
+    """WITH words AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS keyword FROM part UNION SELECT DISTINCT lower(p_type) FROM part UNION SELECT DISTINCT string_split(p_name, ' ')[1] || ' ' || string_split(p_name, ' ')[2] FROM part),
+    rules AS (SELECT keyword, row_number() OVER (ORDER BY md5(keyword)) AS o FROM words),
+    texts AS (SELECT p_partkey, CASE WHEN p_size % 9 = 0 THEN NULL WHEN p_size % 9 = 1 THEN 'No. ' || p_size ELSE lower(p_name || ' / ' || p_type) END AS text FROM part),
+    hits AS (SELECT p_partkey, min(o) AS o FROM texts JOIN rules ON contains(text, keyword) GROUP BY 1)
+    SELECT p_partkey, 'sector ' || (o % 21) AS industry_sector, CASE WHEN text IS NULL THEN 'missing' WHEN o IS NULL THEN 'unmapped' ELSE 'matched' END AS industry_status, keyword AS industry_keyword
+    FROM texts LEFT JOIN hits USING (p_partkey) LEFT JOIN rules USING (o)""",
+)
+def _(t):
+    """Some hundreds of keywords in 21 sectors, the words and pairs of words in the names of parts and their types, in an order that has nothing to do with them."""
+    names = t.part.select(F.explode(F.split("p_name", " ")).alias("keyword"))
+    words = names.union(t.part.select(F.lower("p_type"))).union(t.part.select(F.substring_index("p_name", " ", 2))).distinct()
+    ranked = ordered_prefix(words.withColumn("_md5", F.md5("keyword")), [], [F.asc("_md5")], rank="rule_order")
+    rules = ranked.select(F.col("rule_order").cast("int").alias("rule_order"), F.concat(F.lit("sector "), F.col("rule_order") % 21).alias("sector"), "keyword")
+    whole = F.concat(F.upper("p_name"), F.lit("  / "), "p_type")
+    text = F.when(F.col("p_size") % 9 == 0, F.lit(None)).when(F.col("p_size") % 9 == 1, F.concat(F.lit("No. "), "p_size")).otherwise(whole)
+    return sector_by_keywords(t.part.select("p_partkey", text.alias("text")), "text", rules).drop("text")
+
+
 @query("x13_quantity", "SELECT l_orderkey, CAST(sum(CAST(l_quantity AS INT)) AS DOUBLE) AS openings FROM lineitem GROUP BY 1")
 def _(t):
     shown = F.concat(F.col("l_quantity").cast("int"), F.lit(" người"))

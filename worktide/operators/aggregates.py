@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fold_accents
+from .skew import lookup_by_key
 from .windows import top_k
 
 
@@ -159,7 +160,8 @@ def drop_rare_singletons(df: DataFrame, key: str, skills: str, min_count: int =
     """Clean skill lists: a plain lower-case single word must occur ``min_count`` times in the batch.
 
     Acronyms, capitalised words and words with digits always stay; phrases go when they end in a
-    stray capital vowel. Repeats (accent- and case-insensitive) keep their first form.
+    stray capital vowel. Repeats (accent- and case-insensitive) keep their first form. A word that very many lists
+    hold is counted before the shuffle and meets its count in all tasks.
     """
     long = df.select(key, F.posexplode(skills).alias("pos", "_raw")).withColumn("raw", F.trim("_raw"))
     long = long.withColumn("norm", F.trim(F.lower(fold_accents(F.col("raw"))))).filter(F.col("norm") != "")
@@ -169,7 +171,7 @@ def drop_rare_singletons(df: DataFrame, key: str, skills: str, min_count: int =
     phrase = F.col("norm").rlike(r"\S\s+\S")
     keep_phrase = ~plain.rlike("[AEIOUY]$") | upper
     strong = raw.rlike(r"\d") | upper | (raw.rlike(r"^\p{Lu}[^\p{Lu}]*\p{Ll}[^\p{Lu}]*$") & (F.length(raw) >= 3))
-    kept = long.join(counts, "norm").filter(
+    kept = lookup_by_key(long, counts, "norm", "seen", key).filter(
         F.when(phrase, keep_phrase).otherwise(strong | (F.col("seen") >= min_count))
     )
     firsts = kept.groupBy(key, "norm").agg(F.min(F.struct("pos", "raw")).alias("item"))
