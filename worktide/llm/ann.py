@@ -127,7 +127,7 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, ``key`` and score (Euclidean distance) of the ``k`` nearest found for each query vector.
 
-    Ties go to the smaller id; fewer candidates give fewer rows. Rows whose vector is null, zero, holds a null or
+    Ties go to the smaller id; only fewer candidates than ``k`` give fewer rows. Other columns are not read. Rows whose vector is null, zero, holds a null or
     non-finite component, or has another length than most, take no part, nor do rows without an id. A row
     repeated whole counts once. Of identical vectors only the ``k`` + 1 smallest ids can be results, so no more are
     indexed. Centroids and the number of probes come from at most about SAMPLE_ROWS vectors and SAMPLE_BYTES.
@@ -148,23 +148,36 @@ def nearest(
         return empty
     index = spark.sparkContext.broadcast(build(points, lists or min(MOST_LISTS, max(1, int(np.sqrt(total)))), k, recall))
 
-    def dealt(count: int):
+    def dealt(sizes: np.ndarray | None):
+        """Members join their nearest list; queries, for which the lists' sizes are given, as many as they probe."""
+
         def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for at in range(0, batch.num_rows, 1024):
                     part = batch.slice(at, 1024)
-                    near = index.value.lists(_matrix(part.column("_v"), size), count)
-                    rows = pa.array(np.repeat(np.arange(len(near)), near.shape[1]))
-                    yield pa.RecordBatch.from_arrays([pa.array(near.ravel().astype(np.int32)), part.column("_id").take(rows), part.column("_v").take(rows)], ["_list", "_id", "_v"])
+                    v = _matrix(part.column("_v"), size)
+                    if sizes is None:
+                        near, count = index.value.lists(v, 1), np.ones(len(v), np.int64)
+                    else:
+                        near = index.value.lists(v, len(sizes))
+                        # On past the usual probes until the lists hold ``k`` rows beside the query's own.
+                        enough = (np.cumsum(sizes[near], axis=1) > k).argmax(axis=1) + 1
+                        enough[sizes.sum() <= k] = len(sizes)
+                        count = np.maximum(enough, min(index.value.probes, len(sizes)))
+                    rows = pa.array(np.repeat(np.arange(len(near)), count))
+                    lists = near[np.arange(near.shape[1])[None, :] < count[:, None]]
+                    yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), part.column("_id").take(rows), part.column("_v").take(rows)], ["_list", "_id", "_v"])
 
         return deal
 
     dealt_schema = "_list int, _id long, _v array<double>"
-    members = cut_lineage(candidates.mapInArrow(dealt(1), dealt_schema))
-    asked = queries.where(F.col(key).isNotNull() & usable(F.col(vector), size)).select(F.col(key).cast("long").alias("_id"), F.col(vector).cast("array<double>").alias("_v")).distinct()
-    probing = cut_lineage(asked.mapInArrow(dealt(index.value.probes), dealt_schema))
+    members = cut_lineage(candidates.mapInArrow(dealt(None), dealt_schema))
     # One number per list: MOST_LISTS rows at most.
     rows_of = {r["_list"]: r["count"] for r in members.groupBy("_list").count().collect()}
+    held = np.zeros(len(index.value.centroids), np.int64)
+    held[list(rows_of)] = list(rows_of.values())
+    asked = queries.where(F.col(key).isNotNull() & usable(F.col(vector), size)).select(F.col(key).cast("long").alias("_id"), F.col(vector).cast("array<double>").alias("_v")).distinct()
+    probing = cut_lineage(asked.mapInArrow(dealt(held), dealt_schema))
     asks_of = {r["_list"]: r["count"] for r in probing.groupBy("_list").count().collect()}
     parts = spark.createDataFrame(
         [(x, -(-n // LIST_ROWS), -(-asks_of[x] // QUERY_ROWS)) for x, n in rows_of.items() if x in asks_of], "_list int, _row_parts int, _ask_parts int"
