@@ -8,12 +8,12 @@ every part of it is judged alike. Short texts take a level that also matches thr
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ UNKNOWN = "und"
 LEVEL, SHORT_LEVEL = 3, 19
 SHORT_BYTES = 512
 BLOCK_BYTES = 1 << 15
-NO_LETTERS = re.compile(r"[\W\d_]+")
+NO_LETTERS = regex.compile(r"[^\p{L}]+")
 
 
 def words_of(text: str) -> bytes:
