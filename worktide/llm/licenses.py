@@ -1,6 +1,6 @@
 """Licence scan by digests of canonical texts, with DataFrame functions only.
 
-A text is canonical after A-Z are in lower case, lines that begin with a copyright notice are gone, equivalent
+A text is canonical after A-Z are in lower case, lines that are a copyright notice or a licence's title are gone, equivalent
 spellings are one, and every run of other characters than letters and digits is a space. Whole documents and
 whole lines are looked up by SHA-256 among the known licences.
 """
@@ -36,15 +36,31 @@ Permission is granted to anyone to use this software for any purpose, including
 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""),
+    ("BSD-2-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("Unlicense", """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <https://unlicense.org>"""),
 )
-NOTICE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$"
+#: A notice names a year or an owner after the word or sign; a sentence that is wrapped before "copyright" does not.
+NOTICE = r"(?m)^[^a-z0-9\n]*(copyright[^a-z0-9\n]*(c\)|©|by |year|yyyy|[0-9])|\(c\)[^a-z0-9\n]*[0-9]|©)[^\n]*$"
+TITLE = r"(?m)^[^a-z0-9\n]*((the )?(mit|expat|isc|zlib|(2|3|two|three)-clause bsd|bsd (2|3)-clause)( \"[a-z]+\"| or \"[a-z]+\")? licen[sc]e( \([a-z0-9 -]+\))?|all rights reserved)[^a-z0-9\n]*$"
 GAP = r"[^\p{L}\p{N}\n]+"
 MOST_KNOWN = 100_000
 
 
 def canonical(text: Column) -> Column:
     """The canonical form, its lines still apart; null gives an empty text."""
-    out = F.regexp_replace(fold_case(F.coalesce(text, F.lit(""))), NOTICE, "")
+    out = F.regexp_replace(F.regexp_replace(fold_case(F.coalesce(text, F.lit(""))), NOTICE, ""), TITLE, "")
     for variant, usual in SPELLINGS:
         out = F.replace(out, F.lit(variant), F.lit(usual))
     return F.regexp_replace(F.regexp_replace(out, GAP, " "), r"(?m)^ +| +$", "")
@@ -68,7 +84,8 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", known: Sequence
 
     license_id is the licence that the whole document is, null if none; line_licenses names those that whole
     lines of it are, sorted and joined by commas, empty if none. Repeated rows give repeated results; null and
-    empty texts have the digest of an empty text and no licence.
+    empty texts have the digest of an empty text and no licence. Texts of any length are read whole; other columns are not
+    read, whatever their names.
     """
     digests = known_digests(df, known)
     lengths = [r["length"] for r in digests.select("length").distinct().collect()]  # no more than there are known licences
@@ -95,6 +112,7 @@ def scan_sql(known: Sequence[tuple[str, str]] = KNOWN) -> str:
 
     def canon(column: str) -> str:
         out = f"regexp_replace(translate(coalesce({column}, ''), '{UPPER}', '{LOWER}'), {quoted(NOTICE)}, '', 'g')"
+        out = f"regexp_replace({out}, {quoted(TITLE)}, '', 'g')"
         for variant, usual in SPELLINGS:
             out = f"replace({out}, {quoted(variant)}, {quoted(usual)})"
         return f"regexp_replace(regexp_replace({out}, {quoted(GAP)}, ' ', 'g'), '(?m)^ +| +$', '', 'g')"
