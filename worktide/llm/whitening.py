@@ -16,7 +16,7 @@ from math import sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Entries are stored as floor(SCALE * c) + SHIFT; what does not fit into 62 bits is held at that bound.
@@ -130,21 +130,15 @@ class Whitening:
 
 
 def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+    """The quantised entries of the vectors, one in a row."""
+    entries = column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), width)
+    return np.floor(np.clip(entries * SCALE, -BOUND, BOUND)).astype(np.int64) + SHIFT
 
 
-def quantised(df: DataFrame, vector: str) -> DataFrame:
-    """All rows that take part, with ``_x``, the entries as integers.
-
-    Null vectors and those that are empty or hold a null, infinite or undefined entry do not take part.
-    """
-    entries = F.col(vector)
-    usable = entries.isNotNull() & (F.size(entries) > 0) & ~F.exists(entries, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    held = F.transform(
-        F.transform(entries, lambda c: F.floor(F.greatest(F.least(c.cast("double") * SCALE, F.lit(BOUND)), F.lit(-BOUND)))),
-        lambda c: c.cast("long") + SHIFT,
-    )
-    return df.where(usable).withColumn("_x", held)
+def usable(vector: Column) -> Column:
+    """Vectors with entries, all of them there and finite."""
+    whole = F.forall(vector, lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False)))
+    return F.coalesce((F.size(vector) > 0) & whole, F.lit(False))
 
 
 def _exact_totals(source: DataFrame, size: int, of: Callable[[np.ndarray], np.ndarray], width: int) -> list[int]:
@@ -163,7 +157,7 @@ def _exact_totals(source: DataFrame, size: int, of: Callable[[np.ndarray], np.nd
 
 
 def fit(source: DataFrame, components: int = 8) -> Whitening:
-    """Count, sums, covariance and components of all rows of ``source``, as ``quantised`` gives them.
+    """Count, sums, covariance and components of all rows of ``source``, whose ``_x`` are usable vectors.
 
     The sums are centred by the rounded mean before they are multiplied, and corrected exactly for the rounding.
     """
@@ -236,14 +230,11 @@ def identity_error(projected: DataFrame, model: Whitening) -> float:
     used = [i for i, e in enumerate(model.values) if e > model.trace * LEAST_SHARE]
     if not used:
         return 0.0
-    means = projected.agg(*[F.avg(F.col("_w")[i]).alias(str(i)) for i in used]).first()
-
-    def centred(i: int):
-        return F.col("_w")[i] - F.lit(means[str(i)])
-
+    w = {i: F.col("_w")[i] for i in used}
     pairs = [(i, j) for i in used for j in used if i <= j]
-    found = projected.agg(*[F.avg(centred(i) * centred(j)).alias(f"{i}_{j}") for i, j in pairs]).first()
-    return max(abs(found[f"{i}_{j}"] - (i == j)) for i, j in pairs)
+    # The entries are centred on the exact mean, so theirs is zero but for rounding.
+    found = projected.agg(*[F.avg(w[i]).alias(f"m{i}") for i in used], *[F.avg(w[i] * w[j]).alias(f"{i}_{j}") for i, j in pairs]).first()
+    return max(abs(found[f"{i}_{j}"] - found[f"m{i}"] * found[f"m{j}"] - (i == j)) for i, j in pairs)
 
 
 def whiten(df: DataFrame, key: str = "vec_id", vector: str = "embedding", components: int = 8) -> DataFrame:
@@ -255,7 +246,7 @@ def whiten(df: DataFrame, key: str = "vec_id", vector: str = "embedding", compon
     decimal(38,0). An empty table gives no rows; vectors of different lengths raise ValueError. Nothing but sums by
     dimension and by pair of dimensions reaches the driver, and no other column of ``df`` is read.
     """
-    source = quantised(df.select(F.col(key), F.col(vector).alias("_vector")), "_vector")
+    source = df.where(usable(F.col(vector))).select(F.col(key), F.col(vector).alias("_x"))
     model = fit(source, components)
     projected = transform(source, model, key)
     error = identity_error(projected, model) if model.count else 0.0
