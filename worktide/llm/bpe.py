@@ -27,7 +27,7 @@ from .common import slices
 NO_RANK = 1 << 40
 SCAN_LIMIT = 64
 #: The tables of runs and words are emptied before a batch when they take more than this.
-CACHED_BYTES = 48 << 20
+CACHED_BYTES = 128 << 20
 #: Control characters that str.split() takes for white space and the word pattern does not.
 UNSPLIT = re.compile("[\x1c-\x1f]")
 
