@@ -10,7 +10,7 @@ from ..functions.text import normalize_skill
 from ..operators import skills
 from ..operators.tables import AppendTable
 from ..plans import dims, gold, macro, silver
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, written
 from ..sources import files
 from ..streaming import increments
 from .base import query
@@ -185,9 +185,10 @@ def _(t):
     dim = t.spark.createDataFrame([], gold.GoldTables.SCHEMAS["dim_skill"])
     alias = t.spark.createDataFrame([], gold.GoldTables.SCHEMAS["dim_skill_alias"])
     new_dim, new_alias = skills.grow_skill_dim(raw, mapping, dim, alias)
+    new_dim, new_alias = written(new_dim), written(new_alias)
     facts = skills.job_skills(jobs, new_alias, new_dim)
     named = facts.join(new_dim.select("skill_key", "skill_name"), "skill_key")
-    return named.groupBy("skill_key", "skill_name", "skill_type").agg(F.countDistinct("job_key").alias("jobs"))
+    return named.groupBy("skill_key", "skill_name", "skill_type").agg(F.count("job_key").alias("jobs"))
 
 
 # -- M: indicator tables and facts --------------------------------------------------------------------------

@@ -271,9 +271,13 @@ def alias_dim(observed: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def job_skills(jobs: DataFrame, alias: DataFrame, dim: DataFrame) -> DataFrame:
-    """Distinct (job_key, skill_key, skill_type) from both skill lists of the postings."""
-    long = stack_arrays(jobs, ["job_key"], {"tech": "tech_skills", "soft": "soft_skills"})
+    """Distinct (job_key, skill_key, skill_type) from both skill lists of the postings.
+
+    Postings are shuffled once, by job and with whole lists, and one row is left per job and skill where they arrive.
+    """
+    lists = jobs.select("job_key", "tech_skills", "soft_skills").repartition("job_key")
+    long = stack_arrays(lists, ["job_key"], {"tech": "tech_skills", "soft": "soft_skills"})
     low: Column = F.lower(F.trim("raw_skill"))
-    keyed = long.select("job_key", low.alias("raw_skill")).distinct().join(alias, "raw_skill")
+    keyed = long.select("job_key", low.alias("raw_skill")).join(alias, "raw_skill")
     typed = keyed.select("job_key", "skill_key").distinct().join(dim.select("skill_key", "skill_type"), "skill_key", "left")
     return typed.select("job_key", "skill_key", "skill_type")
