@@ -37,7 +37,7 @@ def _(t):
     )
     body = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("Needs Python , SQL tuning for "), "p_name", F.lit(" and team work; team work")))
     text = body.otherwise(F.concat(F.lit("SQL tuning of "), "p_brand", F.lit(". team work")))
-    found = skills.extract_skills(t.part.select("p_partkey", text.alias("text")), "p_partkey", "text", vocab)
+    found = skills.extract_skills(t.spread("part", "p_partkey").select("p_partkey", text.alias("text")), "p_partkey", "text", vocab)
     return found.select("p_partkey", F.array_join("tech_skills", ", ").alias("names"), F.array_join("soft_skills", ", ").alias("soft"))
 
 
