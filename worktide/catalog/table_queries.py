@@ -9,7 +9,7 @@ from ..operators import aggregates as agg
 from ..operators import filters, joins, merge, skills, tables, windows
 from ..operators.prefix import ordered_prefix
 from ..plans import dims
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, written
 from ..sources import files
 from .base import query
 
@@ -153,7 +153,7 @@ def _(t):
 
 @query("w16_split_holds_its_rules", "SELECT true AS disjoint, true AS items_seen, true AS sizes_kept, CAST(count(*) AS BIGINT) AS users FROM (SELECT DISTINCT o_custkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey)")
 def _(t):
-    pairs = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "l_partkey").distinct()
+    pairs = written(t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "l_partkey").distinct())
     train, test = windows.user_split(pairs, "o_custkey", "l_partkey")
     both = train.join(test, ["o_custkey", "l_partkey"], "left_semi").agg((F.count(F.lit(1)) == 0).alias("v")).scalar()
     unseen = test.join(train.select("l_partkey").distinct(), "l_partkey", "left_anti").agg((F.count(F.lit(1)) == 0).alias("v")).scalar()
