@@ -199,3 +199,50 @@ def test_lookup_rows_of_a_frequent_key_are_spread(spark):
     for r in rows.filter("k = 0").select(F.pmod(F.xxhash64("id"), F.lit(postings.COPIES)).alias("c")).collect():
         copies[r.c] += 1
     assert len(copies) == postings.COPIES and max(copies.values()) < 200
+
+
+# -- approximate search in blocks --------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("share", [1.0, 0.5])
+def test_approximate_top_k_meets_its_lists_in_blocks(spark, monkeypatch, share):
+    """Blocks smaller than a list, equal vectors, null ids and vectors: no pair of rows is made, and with all lists probed nothing is lost."""
+    monkeypatch.setattr(matching, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(matching, "INDEX_BLOCK", 256)
+    rng = np.random.default_rng(3)
+    vectors = [[float(x) for x in v] for v in rng.normal(size=(60, 4))] + [[1.0, 2.0, 3.0, 4.0]] * 300
+    rows = [*enumerate(vectors), (900, None), (901, [0.0] * 4), (None, [1.0] * 4)]
+    left = spark.createDataFrame(rows, "a long, v array<double>")
+    found_ = matching.approximate_top_k(left, "a", left.withColumnRenamed("a", "b"), "b", "v", 3, lists=5, share=share)
+    assert "FlatMapCoGroupsInPandas" in found_._jdf.queryExecution().toString()
+    got = defaultdict(list)
+    for r in found_.collect():
+        got[r["a"]].append((-r["score"], r["b"]))
+    assert sorted(got) == list(range(360)) and all(len(x) == 3 for x in got.values())
+    if share == 1.0:
+        unit = np.array(vectors) / np.linalg.norm(vectors, axis=1, keepdims=True)
+        scores = np.round(unit @ unit.T, 6)
+        for a in (0, 7, 59, 60, 359):
+            assert sorted(got[a]) == sorted((-scores[a, b], b) for b in range(360) if b != a)[:3]
+
+
+def test_blocks_of_lists_hold_every_list_once():
+    firsts, parts, blocks = matching._blocks_of_lists([3, 4, 0, 25, 2, 9], 10)
+    rows = [0] * blocks
+    for n, first, part in zip([3, 4, 0, 25, 2, 9], firsts, parts, strict=True):
+        for block in range(first, first + part):
+            rows[block] += n / part
+    assert sum(rows) == 43 and max(rows) <= 10
+
+
+def test_best_of_cell_with_many_equal_scores():
+    from worktide.operators.grid import best_of_cell
+
+    rng = np.random.default_rng(5)
+    scores, ids = rng.integers(0, 3, size=(40, 90)).astype(float), rng.permutation(90)
+    scores[rng.random(scores.shape) < 0.3] = -np.inf
+    scores[0] = -np.inf
+    for k in (1, 5, 16, 17, 90, 200):
+        rows, cols = best_of_cell(scores, ids, k)
+        want = [(r, c) for r in range(40) for c in sorted(range(90), key=lambda c, r=r: (-scores[r, c], ids[c]))[:k] if scores[r, c] > -np.inf]
+        assert [*zip(rows, cols)] == want
