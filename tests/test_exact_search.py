@@ -246,3 +246,45 @@ def test_best_of_cell_with_many_equal_scores():
         rows, cols = best_of_cell(scores, ids, k)
         want = [(r, c) for r in range(40) for c in sorted(range(90), key=lambda c, r=r: (-scores[r, c], ids[c]))[:k] if scores[r, c] > -np.inf]
         assert [*zip(rows, cols)] == want
+
+
+# -- equal rows are answered once --------------------------------------------------------------------------------
+
+
+def test_answered_once_gives_every_row_the_answer_of_its_kind(spark):
+    """Nulls and NaN are equal to themselves, a key that comes twice has the best of all its rows, one without a key nothing."""
+    from worktide.operators.cells import answered_once
+
+    nan = float("nan")
+    rows = [*[(i, i % 3 or None, [1.0, nan]) for i in range(300)], (0, None, [1.0, nan]), (1, 2, [1.0, nan]), (None, 2, [1.0, nan])]
+    seen = []
+
+    def answer(distinct):
+        seen.append(distinct.count())
+        other = F.explode(F.sequence(F.lit(1), F.coalesce("x", F.lit(5))))
+        return distinct.select("id", other.alias("o")).select("id", F.col("o").alias("other"), F.col("o").cast("double").alias("score"), F.lit(5).cast("bigint").alias("n")).filter("other > 3 OR other < 3")
+
+    got = defaultdict(list)
+    df = spark.createDataFrame(rows, "id long, x int, v array<double>")
+    out = answered_once(df, "id", answer, "other", 4, "n")
+    assert out.columns == ["id", "other", "score", "n"] and out.schema["id"].dataType == df.schema["id"].dataType
+    for r in out.collect():
+        got[r["id"]].append((r["other"], r["n"]))
+    assert seen == [3] and None not in got and len(got) == 300
+    assert sorted(got[3]) == [(1, 5), (2, 5), (4, 5), (5, 5)] and sorted(got[4]) == [(1, 5)] and sorted(got[5]) == [(1, 5), (2, 5)]
+    assert sorted(got[0]) == [(4, 5), (4, 5), (5, 5), (5, 5)] and sorted(got[1]) == [(1, 10), (1, 10), (2, 10)]
+
+
+def test_candidates_and_scores_meet_postings_once_per_kind_of_cv(spark, monkeypatch):
+    met = []
+    real = matching.cells_top_k
+    monkeypatch.setattr(matching, "cells_top_k", lambda left, right, left_id, *a, **b: met.append(left.select(left_id).distinct().count()) or real(left, right, left_id, *a, **b))
+    cvs = spark.createDataFrame([(i, "explicit", float(i % 2), None) for i in range(40)], "cv long, source string, years double, location string")
+    jobs = spark.createDataFrame([(j, 0.0, None, "range", "x") for j in range(5)], "job long, min_years double, max_years double, experience_type string, location string")
+    out = matching.candidates(cvs, "cv", jobs, "job", lambda lp, rp: np.broadcast_to(-rp["job"].to_numpy(float)[None, :], (len(lp), len(rp))), 2)
+    assert found(out, "cv", "job", "n_candidates") == [(i, j, 5) for i in range(40) for j in (0, 1)]
+    users = spark.createDataFrame([(i, ["a"], "c", "f", "l", 1.0) for i in range(40)], "user_id long, skills array<string>, category string, work_form string, location string, years double")
+    posts = spark.createDataFrame([(j, ["a"], "c", "f", "l", 0.0, 2.0) for j in range(5)], "job_key long, skills array<string>, category string, work_form string, location string, min_years double, max_years double")
+    scored = matching.score_pairs(users, posts, 2)
+    assert found(scored, "user_id", "job_key", "n_scored", "band") == [(i, j, 5, "top") for i in range(40) for j in (0, 1)]
+    assert met == [2, 1]

@@ -6,11 +6,16 @@ A large cell is cut into blocks on both sides; each block of pairs is scored wit
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .grid import Score, best_rows, block_solver
 from .postings import spread_lookup
+from .prefix import ordered_prefix
+from .windows import top_k
 
 
 def cells_top_k(
@@ -38,10 +43,32 @@ def cells_top_k(
     b = b.select(*[F.col(c).alias(c) for c in b.columns])
     kinds = left.schema[left_id].dataType.simpleString(), right.schema[right_id].dataType.simpleString()
     schema = f"l {kinds[0]}, r {kinds[1]}, score double, n bigint"
+    # Blocks are few bytes and much work, so their tasks are not folded by size.
+    tasks = 4 * max(left.sparkSession.sparkContext.defaultParallelism, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    a, b = (x.repartition(tasks, cell, "_block") for x in (a, b))
     scored = a.groupBy(cell, "_block").cogroup(b.groupBy(cell, "_block")).applyInPandas(block_solver(left_id, right_id, score, k, digits), schema)
     return best_rows(scored, left_id, right_id, k, count)
 
 
+def answered_once(rows: DataFrame, key: str, answer: Callable[[DataFrame], DataFrame], other: str, k: int, count: str) -> DataFrame:
+    """``answer`` where rows that differ only in ``key`` are answered once and share the result.
+
+    ``answer`` gets the distinct rows with numbers for ``key`` and returns (key, other, score, count), ``k`` rows per key at
+    most. A key with several rows has the best ``k`` of all of them; null keys have none.
+    """
+    kind = rows.schema[key].dataType
+    same = F.struct(*[c for c in rows.columns if c != key]).alias("_same")
+    members = rows.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), same)
+    numbered = cut_lineage(ordered_prefix(members.select("_same").distinct(), [], [F.asc("_same")], rank="_id").select("_same", "_id"))
+    found = answer(numbered.select(F.col("_id").alias(key), "_same.*"))
+    lists = found.groupBy(F.col(key).alias("_id")).agg(F.collect_list(F.struct(other, "score")).alias("_best"), F.max(count).alias("_n"))
+    asked = spread_lookup(members, numbered, "_same", "_key").groupBy("_key", "_id").agg(F.count(F.lit(1)).alias("_times"))
+    given = spread_lookup(asked, lists, "_id", "_key").withColumn("_n", F.sum("_n").over(Window.partitionBy("_key")))
+    every = given.withColumn("_b", F.explode("_best")).withColumn("_time", F.explode(F.sequence(F.lit(1), F.least("_times", F.lit(k)).cast("int"))))
+    flat = every.select(F.col("_key").cast(kind).alias(key), F.col(f"_b.{other}").alias(other), F.col("_b.score").alias("score"), F.col("_n").alias(count))
+    return top_k(flat, [key], [F.desc("score"), F.asc(other)], k)
+
+
 def bins_between(first: Column, last: Column, width: Column) -> Column:
     """The numbers of the bins from the one of ``first`` to the one of ``last``; none if either is null or they are swapped."""
     low, high = F.floor(first / width), F.floor(last / width)
