@@ -252,7 +252,7 @@ def test_best_of_cell_with_many_equal_scores():
 
 
 def test_answered_once_gives_every_row_the_answer_of_its_kind(spark):
-    """Nulls and NaN are equal to themselves, a key that comes twice has the best of all its rows, one without a key nothing."""
+    """Nulls and NaN are equal to themselves; rows of a key that comes twice are answered together as they are, a row without a key not at all."""
     from worktide.operators.cells import answered_once
 
     nan = float("nan")
@@ -266,13 +266,21 @@ def test_answered_once_gives_every_row_the_answer_of_its_kind(spark):
 
     got = defaultdict(list)
     df = spark.createDataFrame(rows, "id long, x int, v array<double>")
-    out = answered_once(df, "id", answer, "other", 4, "n")
+    out = answered_once(df, "id", answer, "other", "n")
     assert out.columns == ["id", "other", "score", "n"] and out.schema["id"].dataType == df.schema["id"].dataType
     for r in out.collect():
         got[r["id"]].append((r["other"], r["n"]))
-    assert seen == [3] and None not in got and len(got) == 300
+    assert seen == [3, 4] and None not in got and len(got) == 300
     assert sorted(got[3]) == [(1, 5), (2, 5), (4, 5), (5, 5)] and sorted(got[4]) == [(1, 5)] and sorted(got[5]) == [(1, 5), (2, 5)]
-    assert sorted(got[0]) == [(4, 5), (4, 5), (5, 5), (5, 5)] and sorted(got[1]) == [(1, 10), (1, 10), (2, 10)]
+    assert sorted(got[0]) == sorted(2 * [(1, 5), (2, 5), (4, 5), (5, 5)]) and sorted(got[1]) == [(1, 5), (1, 5), (2, 5)]
+
+
+def test_repeated_rows_of_a_user_are_scored_as_they_are(spark):
+    kinds = "skills array<string>, category string, work_form string, location string"
+    users = spark.createDataFrame([(i, ["a"], "c", "f", "l", 1.0) for i in (1, 1, 2, 3)], f"user_id long, {kinds}, years double")
+    posts = spark.createDataFrame([(j, ["a"], "d", "f", "l", 0.0, 2.0) for j in range(9)], f"job_key long, {kinds}, min_years double, max_years double")
+    got = found(matching.score_pairs(users, posts, 5), "user_id", "job_key", "n_scored")
+    assert all(x[2] == 9 for x in got) and [x[:2] for x in got] == [(1, 0)] * 4 + [(1, 1)] + [(u, j) for u in (2, 3) for j in range(5)]
 
 
 def test_candidates_and_scores_meet_postings_once_per_kind_of_cv(spark, monkeypatch):

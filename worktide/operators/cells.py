@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .grid import Score, best_rows, block_solver
 from .postings import spread_lookup
 from .prefix import ordered_prefix
-from .windows import top_k
 
 
 def cells_top_k(
@@ -50,23 +49,25 @@ def cells_top_k(
     return best_rows(scored, left_id, right_id, k, count)
 
 
-def answered_once(rows: DataFrame, key: str, answer: Callable[[DataFrame], DataFrame], other: str, k: int, count: str) -> DataFrame:
+def answered_once(rows: DataFrame, key: str, answer: Callable[[DataFrame], DataFrame], other: str, count: str) -> DataFrame:
     """``answer`` where rows that differ only in ``key`` are answered once and share the result.
 
-    ``answer`` gets the distinct rows with numbers for ``key`` and returns (key, other, score, count), ``k`` rows per key at
-    most. A key with several rows has the best ``k`` of all of them; null keys have none.
+    ``answer`` gets the distinct rows with numbers for ``key`` and returns (key, other, score, count), few rows per key.
+    Rows whose key comes more than once are answered as they are; null keys have no answer.
     """
-    kind = rows.schema[key].dataType
+    named = rows.filter(F.col(key).isNotNull())
+    repeated = cut_lineage(named.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key))
+    some = not repeated.isEmpty()
+    single = named.join(repeated, key, "left_anti") if some else named
     same = F.struct(*[c for c in rows.columns if c != key]).alias("_same")
-    members = rows.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), same)
+    members = single.select(F.col(key).alias("_key"), same)
     numbered = cut_lineage(ordered_prefix(members.select("_same").distinct(), [], [F.asc("_same")], rank="_id").select("_same", "_id"))
     found = answer(numbered.select(F.col("_id").alias(key), "_same.*"))
-    lists = found.groupBy(F.col(key).alias("_id")).agg(F.collect_list(F.struct(other, "score")).alias("_best"), F.max(count).alias("_n"))
-    asked = spread_lookup(members, numbered, "_same", "_key").groupBy("_key", "_id").agg(F.count(F.lit(1)).alias("_times"))
-    given = spread_lookup(asked, lists, "_id", "_key").withColumn("_n", F.sum("_n").over(Window.partitionBy("_key")))
-    every = given.withColumn("_b", F.explode("_best")).withColumn("_time", F.explode(F.sequence(F.lit(1), F.least("_times", F.lit(k)).cast("int"))))
-    flat = every.select(F.col("_key").cast(kind).alias(key), F.col(f"_b.{other}").alias(other), F.col("_b.score").alias("score"), F.col("_n").alias(count))
-    return top_k(flat, [key], [F.desc("score"), F.asc(other)], k)
+    lists = found.groupBy(F.col(key).alias("_id")).agg(F.collect_list(F.struct(other, "score", count)).alias("_best"))
+    asked = spread_lookup(members, numbered, "_same", "_key").select("_key", "_id")
+    given = spread_lookup(asked, lists, "_id", "_key").select(F.col("_key").alias(key), F.explode("_best").alias("_b"))
+    flat = given.select(key, *[F.col(f"_b.{c}").alias(c) for c in (other, "score", count)])
+    return flat.unionByName(answer(named.join(repeated, key, "left_semi").select(*rows.columns))) if some else flat
 
 
 def bins_between(first: Column, last: Column, width: Column) -> Column:
