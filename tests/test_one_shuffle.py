@@ -77,3 +77,42 @@ def test_wanted_items_that_the_user_has_not_rated_are_predicted(spark, monkeypat
 def test_small_files_of_parts_are_read_by_all_tasks(spark):
     plan = all_queries()["k01_skills_of_listed_parts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan
+
+
+def test_recommendations_are_the_largest_products(spark, monkeypatch):
+    """Equal to all products in every place, over several blocks of both sides, with equal and zero factors; nothing is scored twice."""
+    import numpy as np
+
+    from worktide.operators import collaborative
+
+    monkeypatch.setattr(collaborative, "ITEM_BLOCK", 64)
+    monkeypatch.setattr(collaborative, "USER_BLOCK", 50)
+    draw = np.random.default_rng(3)
+    users, items = draw.integers(-4, 5, (180, 4)).astype(float), draw.integers(-4, 5, (700, 4)).astype(float)
+    users[7] = 0
+    items[100:300] = items[5]
+
+    def frame(matrix):
+        return spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(matrix)], "id int, features array<float>")
+
+    found = collaborative.recommend(frame(users), frame(items), 10).collect()
+    products = users @ items.T
+    for u in range(len(users)):
+        want = sorted(range(len(items)), key=lambda i: (-products[u, i], i))[:10]
+        assert [r["item"] for r in sorted((r for r in found if r["user"] == u), key=lambda r: r["position"])] == want
+    few = collaborative.recommend(frame(users), frame(items[:3]), 10).collect()
+    assert len(few) == 3 * len(users) and {r["position"] for r in few} == {1, 2, 3}
+    assert collaborative.recommend(frame(users[:0]), frame(items), 10).count() == 0
+
+
+def test_short_items_are_not_scored():
+    import numpy as np
+
+    from worktide.operators import collaborative
+
+    best = collaborative._Best(np.arange(3), np.eye(3, dtype=np.float32) + 1, 2)
+    best.meet(np.arange(4), np.full((4, 3), 9, np.float32), 16.0)
+    scored = []
+    best._rank = lambda *a: scored.append(a)
+    best.meet(np.arange(4, 6), np.full((2, 3), 1, np.float32), 2.0)
+    assert not scored
