@@ -527,3 +527,19 @@ def test_pipeline_stages(spark, tmp_path):
     near = brute_components([(r.doc_id, r.text) for r in exact.collect()], 80)
     assert {r.doc_id for r in spark.read.parquet(str(tmp_path / "near_dedup")).collect()} == {i for i, (_, c) in near.items() if i == c}
     check_packing(docs.collect(), 4096)
+
+
+def test_toxicity_trains_in_little_memory():
+    """One string per word and places of a few windows at a time: the driver holds little beside the texts."""
+    import tracemalloc
+
+    from worktide.llm import toxicity
+
+    rows = np.random.default_rng(1).integers(1, 50, 400_000).astype(np.int32)
+    tracemalloc.start()
+    index, owner = toxicity.windows(rows, [400_000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert index.dtype == np.int32 and len(index) == len(owner)
+    assert (index[1] == rows[toxicity.STRIDE:toxicity.STRIDE + toxicity.WINDOW]).all()
+    assert peak < 2.5 * index.nbytes
