@@ -535,9 +535,9 @@ def test_toxicity_trains_in_little_memory():
 
     from worktide.llm import toxicity
 
-    rows = np.random.default_rng(1).integers(1, 50, 400_000).astype(np.int32)
+    rows = np.random.default_rng(1).integers(1, 50, 4_000_000).astype(np.int32)
     tracemalloc.start()
-    index, owner = toxicity.windows(rows, [400_000])
+    index, owner = toxicity.windows(rows, [4_000_000])
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert index.dtype == np.int32 and len(index) == len(owner)
