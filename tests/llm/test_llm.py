@@ -543,3 +543,15 @@ def test_toxicity_trains_in_little_memory():
     assert index.dtype == np.int32 and len(index) == len(owner)
     assert (index[1] == rows[toxicity.STRIDE:toxicity.STRIDE + toxicity.WINDOW]).all()
     assert peak < 2.5 * index.nbytes
+
+
+def test_pipeline_judges_the_language_of_short_documents(spark):
+    """A text of a word that no language holds goes at any length, a short one that fits one language stays; a missing language is filled in."""
+    import corpus_pipeline
+
+    base = {"en": "the house and the garden of this street were quiet", "de": "das haus und der garten dieser strasse waren ruhig"}
+    rows = [(i, f"{base[lang]} {word} {i}", lang) for i in range(40) for lang, word in (("en", "weather"), ("de", "wetter"))]
+    short = [(-1, "xq.", "en"), (-2, "the house and the garden", "en"), (-3, "das haus und der garten", None), (-4, "!!", "de")]
+    docs = spark.createDataFrame(rows + short, "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.known_language(spark, docs, SF).where("doc_id < 0").collect()}
+    assert kept == {-2: "en", -3: "de"}

@@ -66,6 +66,12 @@ class Dictionaries:
                 held[i] = sum(len(w) for w in words & self._vocabulary[i])
         return sorted(range(len(sizes)), key=lambda i: (sizes[i] if held[i] == 0 else sizes.min(), -held[i], sizes[i], i)), sizes
 
+    def told_apart(self, data: bytes, first: int, second: int) -> bool:
+        """Whether the dictionary of ``first`` holds more of the words than that of ``second``, counted in bytes."""
+        words = set(data.split())
+        one, other = (sum(len(w) for w in words & self._vocabulary[i]) for i in (first, second))
+        return one > other
+
     @cached_property
     def _vocabulary(self) -> list[set[bytes]]:
         return [set(s.split()) for s in self.samples.values()]
@@ -100,13 +106,14 @@ def learn(labelled: DataFrame, key: str, text: str, lang: str, documents: int =
     return Dictionaries({lg: b"".join(p)[-dictionary_bytes:] for lg, p in parts.items()})
 
 
-def identify(df: DataFrame, dictionaries: Dictionaries, text: str = "text", min_margin: float = 0.0, min_bytes: int = 200, prefix: str = "lang") -> DataFrame:
+def identify(df: DataFrame, dictionaries: Dictionaries, text: str = "text", min_margin: float = 0.0, min_bytes: int = 200, prefix: str = "lang", judge_short: bool = False) -> DataFrame:
     """All columns and {prefix}_pred, {prefix}_score (0 to 1), {prefix}_margin and {prefix}_rejected.
 
     Columns of those names are replaced. The margin is what the second smallest size lies above the smallest, as a share of it, over all blocks of the text. A text that is null or
     has no letter, or any text if nothing was learned, is ``und`` with score 0 and rejected; others are
     rejected if their margin is below ``min_margin`` and their words have ``min_bytes`` or more. Full ties go to the
-    alphabetically first language.
+    alphabetically first language. Sizes are whole bytes, so equal ones say little about a shorter text: with ``judge_short`` it is rejected
+    if besides the words held by the dictionaries do not tell its two best languages apart.
     """
     shared = df.sparkSession.sparkContext.broadcast(dictionaries)
     names = [f"{prefix}_{x}" for x in ("pred", "score", "margin", "rejected")]
@@ -125,7 +132,8 @@ def identify(df: DataFrame, dictionaries: Dictionaries, text: str = "text", min_
                 order, sizes = model.order(words)
                 best, second = np.partition(sizes, 1)[:2].tolist() if len(known) > 1 else (1, 2)
                 margin = (second - best) / best
-                out.append((known[order[0]], margin / (margin + 0.02) if margin else 0.0, margin, margin < min_margin and len(words) >= min_bytes))
+                unclear = margin < min_margin and (len(words) >= min_bytes or judge_short and not model.told_apart(words, *order[:2]))
+                out.append((known[order[0]], margin / (margin + 0.02) if margin else 0.0, margin, unclear))
             kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], [*batch.schema.names, *names])
 
