@@ -196,3 +196,30 @@ def test_damage_behind_the_first_row_group_is_found(spark, tmp_path):
 def test_quarantine_names_the_reason(spark, tmp_path):
     with pytest.raises(ValueError, match="no readable file"):
         files.load_batch(spark, [])
+
+
+def test_large_batches_are_not_ordered_by_one_task_and_finished_versions_not_worked_out_again(spark, tmp_path, monkeypatch):
+    bronze = spark.createDataFrame(BRONZE, BRONZE_SCHEMA)
+    rows_ = silver.standardize_postings(bronze, F.lit("2025-10-01"))
+    copies = [rows_.withColumn("link", F.concat(F.lit(f"l{i % 5}/"), F.col("platform"))).withColumn("processed_date", F.date_add("processed_date", i)) for i in range(7)]
+    every = copies[0]
+    for more in copies[1:]:
+        every = every.unionByName(more)
+    want = {n: sorted(map(str, gold.pending_batch(every, n).collect())) for n in (1, 4, 100)}
+    monkeypatch.setattr(gold, "IN_ONE_TASK", 0)
+    for n, found in want.items():
+        batch = gold.pending_batch(every, n)
+        assert sorted(map(str, batch.collect())) == found
+        assert "Limit 1" not in batch._jdf.queryExecution().executedPlan().toString()
+
+    tables = gold.GoldTables(spark, str(tmp_path))
+    mapping = spark.createDataFrame([], "raw_skill string, canonical_skill string, skill_type string")
+    gold.gold_increment(gold.pending_batch(every, 100), mapping, tables, "v1")
+    names = tables.read("fact_jobs").count(), tables.read("dim_job").count()
+
+    def never(*_, **__):
+        raise AssertionError("the version is there")
+
+    monkeypatch.setattr(gold, "latest_per", never)
+    gold.gold_increment(every, mapping, tables, "v1")
+    assert (tables.read("fact_jobs").count(), tables.read("dim_job").count()) == names
