@@ -93,3 +93,37 @@ def test_loads_that_are_repeated(spark, tmp_path):
     tables.overwrite_partitions(one, "p", parted)
     tables.overwrite_partitions(spark.createDataFrame([(9, "b")], "k int, p string"), "p", parted)
     assert found(spark.read.parquet(parted), "k", "p") == [(1, "a"), (9, "b")]
+
+
+def test_neighbours_over_several_blocks_and_parts_shuffle_no_products(spark, monkeypatch):
+    """Named raters, a word that all rated, long profiles, and rows without a rater, item or rating; equal to brute force."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(collaborative, "BLOCK_CELLS", 120)
+    monkeypatch.setattr(collaborative, "PRODUCTS_OF_A_TASK", 300)
+    monkeypatch.setattr(collaborative, "PIECE_CELLS", 16)
+    rows = [(f"u{u}", f"i{i}", float(1 + (u * 3 + i) % 5)) for u in range(40) for i in range(30) if i == 0 or u == 3 or (u * i) % 7 == 1]
+    odd = [(None, "i1", 2.0), ("u1", None, 3.0), ("u2", "i29", None), ("u5", "i0", 1.0), ("u9", "i2", 0.0), ("alone", "x", 1.0), ("zero", "i0", 0.0)]
+    strongest = {}
+    for u, i, r in rows + odd:
+        if u is not None and r is not None:
+            strongest[u, i] = max(strongest.get((u, i), 0), r)
+    length = {}
+    for (u, _), r in strongest.items():
+        length[u] = length.get(u, 0) + r * r
+    unit = {u: {i: r / length[u] ** 0.5 for (v, i), r in strongest.items() if v == u and i is not None} for u in length if length[u] > 0}
+    want = []
+    for u, mine in unit.items():
+        sims = [(v, round(sum(x * theirs.get(i, 0) for i, x in mine.items()), 9)) for v, theirs in unit.items() if v != u]
+        want += [(u, v, round(s, 8)) for v, s in sorted((x for x in sims if x[1] > 0), key=lambda x: (-x[1], x[0]))[:4]]
+    near = collaborative.neighbours(spark.createDataFrame(rows + odd, "user string, item string, rating double"), "user", "item", "rating", k=4)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "_v" not in plan and "cells" in plan
+    assert sorted((r["user"], r["neighbour"], round(r["sim"], 8)) for r in near.collect()) == sorted(want)
+
+    table = pa.table({"user": [u for u, p in unit.items() for _ in p], "item": [i for p in unit.values() for i in p], "_v": [x for p in unit.values() for x in p.values()]})
+    for at_once in (1, 40, 1 << 20):
+        monkeypatch.setattr(collaborative, "PRODUCTS_AT_ONCE", at_once)
+        best = pa.Table.from_batches(collaborative._Block(table, "user", "item").best(table, "user", "item", 4))
+        assert sorted((u, n, round(round(s, 9), 8)) for u, n, s in zip(*(c.to_pylist() for c in best.columns), strict=True)) == sorted(want)
+    assert collaborative.neighbours(spark.createDataFrame([], "user string, item string, rating double"), "user", "item", "rating").count() == 0
