@@ -127,3 +127,15 @@ def test_neighbours_over_several_blocks_and_parts_shuffle_no_products(spark, mon
         best = pa.Table.from_batches(collaborative._Block(table, "user", "item").best(table, "user", "item", 4))
         assert sorted((u, n, round(round(s, 9), 8)) for u, n, s in zip(*(c.to_pylist() for c in best.columns), strict=True)) == sorted(want)
     assert collaborative.neighbours(spark.createDataFrame([], "user string, item string, rating double"), "user", "item", "rating").count() == 0
+
+
+def test_blocks_of_the_factorisation_follow_the_ratings(spark, monkeypatch):
+    rows = [(u, i, float(1 + (u + i) % 2)) for u in range(30) for i in range(20)]
+    ratings = spark.createDataFrame(rows, "user int, item int, rating double")
+    few = collaborative.als(ratings, rank=4, iterations=12, reg=0.01)
+    monkeypatch.setattr(collaborative, "ALS_CELLS", 40)
+    many = collaborative.als(ratings, rank=4, iterations=12, reg=0.01)
+    assert few.userFactors.rdd.getNumPartitions() == 10 and many.userFactors.rdd.getNumPartitions() == 15
+    for model in (few, many):
+        error = collaborative.rating_error(model.transform(ratings), "rating", "prediction").first()
+        assert error["n"] == 600 and error["rmse"] < 0.5  # below the spread of the ratings
